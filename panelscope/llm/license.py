@@ -64,7 +64,7 @@ def scan_licenses(documents: DataFrame, templates: dict[str, str] | None = None,
     whole = F.when(text.contains("\n"), F.array(F.struct(text.alias("t"), F.lit(True).alias("whole"))))
     units = d.select("row", F.explode(F.concat(lines, F.coalesce(whole, F.array().cast("array<struct<t:string,whole:boolean>>")))).alias("u")).filter(F.length("u.t") >= 2 * least + 1)
     units = units.select("row", "u.whole", F.regexp_extract_all(F.lower("u.t"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w")).filter(F.size("w") > least)
-    units = units.select("row", "whole", F.array_distinct(F.expr("transform(sequence(0, size(w) - 2), i -> concat_ws(' ', w[i], w[i + 1]))")).alias("g"))
+    units = units.select("row", "whole", F.array_distinct(F.expr("if(size(w) > 1, transform(sequence(0, size(w) - 2), i -> concat_ws(' ', get(w, i), get(w, i + 1))), cast(array() as array<string>))")).alias("g"))
     units = units.filter(F.size("g").between(least, most))
     scores = [
         F.when(

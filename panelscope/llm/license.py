@@ -62,10 +62,12 @@ def scan_licenses(documents: DataFrame, templates: dict[str, str] | None = None,
     # the set of n bigrams needs n + 1 words, and so 2 n + 1 characters, at least
     lines = F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("t"), F.lit(False).alias("whole")))
     whole = F.when(text.contains("\n"), F.array(F.struct(text.alias("t"), F.lit(True).alias("whole"))))
-    units = d.select("row", F.explode(F.concat(lines, F.coalesce(whole, F.array().cast("array<struct<t:string,whole:boolean>>")))).alias("u")).filter(F.length("u.t") >= 2 * least + 1)
-    units = units.select("row", "u.whole", F.regexp_extract_all(F.lower("u.t"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w")).filter(F.size("w") > least)
-    units = units.select("row", "whole", F.array_distinct(F.expr("if(size(w) > 1, transform(sequence(0, size(w) - 2), i -> concat_ws(' ', get(w, i), get(w, i + 1))), cast(array() as array<string>))")).alias("g"))
-    units = units.filter(F.size("g").between(least, most))
+    # all of a unit's work is done inside the generator: later filters then can't repeat it for each use
+    texts = F.filter(F.concat(lines, F.coalesce(whole, F.array().cast("array<struct<t:string,whole:boolean>>"))), lambda u: F.length(u["t"]) >= 2 * least + 1)
+    pairs = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))))
+    split = lambda u: F.regexp_extract_all(F.lower(u["t"]), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    sets_of = F.flatten(F.transform(texts, lambda u: F.transform(F.filter(F.array(split(u)), lambda w: F.size(w) > least), lambda w: F.struct(pairs(w).alias("g"), u["whole"].alias("whole")))))
+    units = d.select("row", F.explode(F.filter(sets_of, lambda x: F.size(x["g"]).between(least, most))).alias("u")).select("row", "u.g", "u.whole")
     scores = [
         F.when(
             F.size("g").between(*limits[k]),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import license, pii, quality, shard
+from . import license, pii, quality, shard, simhash, substring
 
 
 def queries():
     found = [
+        simhash.op2_simhash_groups,
+        substring.op4_substring_repeats,
         pii.op5_disclosure_spans,
         quality.op6_quality_rules,
         shard.op9_feistel_shards,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import license, pii, quality, shard, simhash, substring
+from . import decontam, license, pii, quality, shard, simhash, substring, toxicity
 
 
 def queries():
     found = [
+        toxicity.op1_kneser_ney_toxicity,
         simhash.op2_simhash_groups,
+        decontam.op3_spaced_seed_leaks,
         substring.op4_substring_repeats,
         pii.op5_disclosure_spans,
         quality.op6_quality_rules,

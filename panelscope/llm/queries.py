@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, license, pii, quality, shard, simhash, substring, toxicity
+from . import bpe, decontam, license, pii, quality, shard, simhash, substring, tokencount, toxicity
 
 
 def queries():
@@ -13,6 +13,8 @@ def queries():
         substring.op4_substring_repeats,
         pii.op5_disclosure_spans,
         quality.op6_quality_rules,
+        tokencount.op7_trie_token_counts,
+        bpe.op8_byte_bpe,
         shard.op9_feistel_shards,
         license.op10_license_scan,
     ]

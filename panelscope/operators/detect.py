@@ -51,7 +51,10 @@ def trend_values(panel: DataFrame, period: int, prev: int | None, factors: DataF
 
 
 def level_history(panel: DataFrame, periods: list[int], keys: list[str], d: Detectors) -> DataFrame:
-    """center, lo_w, hi_w, n_hist per key, in two aggregates: trimmed quartiles per period, then their medians and maxima."""
+    """center, lo_w, hi_w, n_hist per key, in two aggregates: trimmed quartiles per period, then their medians and maxima.
+
+    The skew is rounded, so that the last bits of symmetric quartiles don't decide which side is widened.
+    """
     h = panel.filter(F.col("period_id").isin(periods) & (F.col("sales_value") > 0)).withColumn("lv", S.log_sales(F.col("sales_value")))
     w = Window.partitionBy(*keys, "period_id")
     n, k = F.count("*").over(w), F.row_number().over(w.orderBy("lv"))
@@ -60,7 +63,7 @@ def level_history(panel: DataFrame, periods: list[int], keys: list[str], d: Dete
     q = kept.groupBy(*keys, "period_id").agg(F.count("*").alias("m"), F.percentile("lv", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).filter("m >= 2")
     q1, med, q3 = (F.col("q")[i] for i in range(3))
     one = q.select(*keys, q1.alias("q1"), med.alias("med"), q3.alias("q3"), (q3 - q1).alias("iqr"))
-    one = one.withColumn("skew", F.when(F.col("iqr") > 0, (F.col("q3") - 2 * F.col("med") + F.col("q1")) / F.col("iqr")).otherwise(0.0))
+    one = one.withColumn("skew", F.when(F.col("iqr") > 0, F.round((F.col("q3") - 2 * F.col("med") + F.col("q1")) / F.col("iqr"), 9)).otherwise(0.0))
     up = F.when((F.col("med") > 0) & (F.col("skew") > 0), F.col("q3") * F.col("q3") / F.col("med")).otherwise(F.col("q3"))
     down = F.when((F.col("med") > 0) & (F.col("skew") < 0), F.col("q1") * F.col("q1") / F.col("med")).otherwise(F.col("q1"))
     out = one.withColumn("adj", up - down).groupBy(*keys).agg(
@@ -79,8 +82,8 @@ def fallback_basis(degenerate: Column, name: str, min_sell: int) -> Column:
     return F.when(~F.coalesce(degenerate, F.lit(False)), "all").when(usable("g_"), "sellers").when(usable("c_"), "cell_sellers").otherwise("none")
 
 
-def detect(assigned: DataFrame, panel: DataFrame, factors: DataFrame, period: int, params: Params, prev: int | None = -1, history: list[int] | None = None) -> DataFrame:
-    """Flags of every row of `assigned` (one period, zero rows filled in). factors: seasonal table.
+def detect(assigned: DataFrame, panel: DataFrame, factors: DataFrame, period: int, params: Params, prev: int | None = -1, history: list[int] | None = None, keep=lambda df: df) -> DataFrame:
+    """Flags of every row of `assigned` (one period, zero rows filled in). factors: seasonal table. keep: may write the joined rows.
 
     The order matters: stratum fallbacks come before the shrink, which therefore blends what they put in; the shrink's basis
     then gates the share's shrink; rows of sets marked na lose all flags last.
@@ -114,7 +117,7 @@ def detect(assigned: DataFrame, panel: DataFrame, factors: DataFrame, period: in
         .join(level_history(cell_panel, history[-d.recommended_hist_periods :], cell_keys, d).withColumnsRenamed({"center": "c_center", "lo_w": "c_lo", "hi_w": "c_hi", "n_hist": "n_hist_cell"}), cell_keys, "left")
         .withColumn("T_final", F.coalesce("T_final", F.lit(1.0)))
     )
-    out = _trend_fence(out, d)
+    out = _trend_fence(keep(out), d)
     out = _cross_fences(out, d, peer)
     out = _level_limits(out, d)
     low, high = S.fence(F.col("td_q1"), F.col("td_q3"), F.col("td_mc"), d.adjbox_a, d.adjbox_b, d.adjbox_c)

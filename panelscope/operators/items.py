@@ -36,7 +36,7 @@ def drilldown(graded: DataFrame, items_now: DataFrame, items_prev: DataFrame, fa
     want = targets(graded, p.min_level).select("period_id", *keys, "peer_set", "members", "level", "direction").join(
         t.withColumnRenamed("T_final", "t"), ["peer_set", "category"], "left"
     ).withColumn("t", F.when(S.finite(F.col("t")) & (F.col("t") > 0), F.col("t")).otherwise(1.0))
-    now = items_now.filter("sales_value > 0")
+    now = items_now.filter("sales_value > 0").drop("period_id")
     own = now.join(want, keys).select(*keys, "period_id", "peer_set", "level", "direction", "t", item, "sales_value", "sales_unit")
     before = items_prev.filter("sales_value > 0").groupBy(*keys, item).agg(F.sum("sales_value").alias("prev")).join(want, keys)
     before = before.select(*keys, "period_id", "peer_set", "level", "direction", "t", item, (F.col("prev") / F.col("t")).alias("prev_sales"))

@@ -42,26 +42,22 @@ def links(panel: DataFrame, ranks: DataFrame, keys: list[str], metric: str) -> D
 def seasonal_factors(panel: DataFrame, period: int, s: Seasonal, cell: tuple[str, ...] = (), metrics=METRICS) -> DataFrame:
     """T per peer set, category and metric: index at the target over the mean index of the baseline.
 
-    A link with too few common stores is replaced by its stratum's, else by 1 without signs.
+    A link with too few common stores is replaced by its stratum's, else by 1 without signs. The metrics are rows of one long
+    table, so that all of them cost one pass.
     """
+    names, cell = ["link", "n_common", "n_plus", "n_minus"], list(cell)
     ranks = period_ranks(panel, period)
-    last = ranks.agg(F.max("k").alias("last"))
-    out = None
-    for metric in metrics:
-        one = _factors(panel.filter(F.col("period_id") <= period), period, ranks, last, s, list(cell), metric)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-def _factors(panel: DataFrame, period: int, ranks: DataFrame, last: DataFrame, s: Seasonal, cell: list[str], metric: str) -> DataFrame:
-    names = ["link", "n_common", "n_plus", "n_minus"]
-    attrs = [F.min(c).alias(c) for c in cell]
-    sets = panel.filter((F.col("period_id") == period) & (F.col(metric) > 0)).groupBy(*KEYS).agg(*attrs or [F.lit(1).alias("_one")])
-    grid = sets.join(F.broadcast(ranks), how="cross").join(links(panel, ranks, KEYS, metric), [*KEYS, "k"], "left")
+    by = [*KEYS, "metric"]
+    long = panel.filter(F.col("period_id") <= period).select(
+        *KEYS, *cell, "store_id", "period_id", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics])).alias("m")
+    ).select(*KEYS, *cell, "store_id", "period_id", "m.metric", F.col("m.x").alias("value")).filter("value > 0")
+    sets = long.filter(F.col("period_id") == period).groupBy(*by).agg(*[F.min(c).alias(c) for c in cell] or [F.lit(1).alias("_one")])
+    # periods are few: the grid is as long as the peer sets' history
+    grid = sets.join(F.broadcast(ranks), how="cross").join(links(long, ranks, by, "value"), [*by, "k"], "left")
     enough = F.coalesce(F.col("n_common") >= s.min_common_stores, F.lit(False))
     if cell and s.borrow_cell:
-        c = links(panel, ranks, [*cell, "category"], metric).select(*cell, "category", "k", *[F.col(n).alias(f"c_{n}") for n in names])
-        grid = grid.join(c, [*cell, "category", "k"], "left")
+        c = links(long, ranks, [*cell, "category", "metric"], "value").select(*cell, "category", "metric", "k", *[F.col(n).alias(f"c_{n}") for n in names])
+        grid = grid.join(c, [*cell, "category", "metric", "k"], "left")
         borrow = ~enough & F.coalesce(F.col("c_n_common") >= s.min_common_stores, F.lit(False))
     else:
         grid = grid.withColumns({f"c_{n}": F.lit(None).cast("double") for n in names})
@@ -70,16 +66,16 @@ def _factors(panel: DataFrame, period: int, ranks: DataFrame, last: DataFrame, s
     use = lambda n: F.when(F.col("source") == "base_cell", F.col(f"c_{n}")).otherwise(F.col(n))
     none = F.col("source") == "none"
     grid = grid.select(
-        *KEYS, "k", "period_id", "source",
+        *by, "k", "period_id", "source",
         F.when(none, 1.0).otherwise(use("link")).alias("link"),
         F.coalesce(use("n_common"), F.lit(0)).cast("long").alias("n_common"),
         F.when(none, 0).otherwise(use("n_plus")).cast("long").alias("n_plus"),
         F.when(none, 0).otherwise(use("n_minus")).cast("long").alias("n_minus"),
     )
-    so_far = Window.partitionBy(*KEYS).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(*by).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     # the index starts at 1; links are positive, so that the running product is a sum of logarithms
     grid = grid.withColumn("idx", F.exp(F.sum(F.when(F.col("k") > 1, F.log("link")).otherwise(0.0)).over(so_far)))
-    base = Window.partitionBy(*KEYS).orderBy("k").rowsBetween(-s.baseline_periods, -1)
+    base = Window.partitionBy(*by).orderBy("k").rowsBetween(-s.baseline_periods, -1)
     later = F.col("k") > 1
     grid = grid.withColumns(
         {
@@ -92,7 +88,7 @@ def _factors(panel: DataFrame, period: int, ranks: DataFrame, last: DataFrame, s
     now = grid.filter(F.col("period_id") == period)
     first = F.col("k") == 1
     now = now.select(
-        F.lit(period).cast("int").alias("period_id"), *KEYS, F.lit(metric).alias("metric"),
+        F.lit(period).cast("int").alias("period_id"), *by,
         F.when(~first, F.col("link")).alias("link_t"),
         F.when(first, 0).otherwise(F.col("n_common")).cast("long").alias("n_common"),
         F.when(first, "none").otherwise(F.col("source")).alias("source"),

@@ -152,7 +152,7 @@ def level_history(keys: str, name: str) -> str:
   SELECT {keys}, period_id, {LV} AS lv, count(*) OVER (PARTITION BY {keys}, period_id) AS n, row_number() OVER (PARTITION BY {keys}, period_id ORDER BY sales_value) AS k FROM panel WHERE period_id < {PERIOD} AND sales_value > 0),
 {name}_q AS (
   SELECT {keys}, period_id, quantile_cont(lv, 0.25) AS q1, quantile_cont(lv, 0.5) AS med, quantile_cont(lv, 0.75) AS q3 FROM {name}_r WHERE k > floor(n * 0.01) AND k <= n - floor(n * 0.01) GROUP BY ALL HAVING count(*) >= 2),
-{name}_a AS (SELECT *, q3 - q1 AS iqr, CASE WHEN q3 > q1 THEN (q3 - 2 * med + q1) / (q3 - q1) ELSE 0 END AS skew FROM {name}_q),
+{name}_a AS (SELECT *, q3 - q1 AS iqr, CASE WHEN q3 > q1 THEN round((q3 - 2 * med + q1) / (q3 - q1), 9) ELSE 0 END AS skew FROM {name}_q),
 {name}_m AS (
   SELECT {keys}, quantile_cont(med, 0.5) AS center, max(iqr) AS iqr, quantile_cont(skew, 0.5) AS skew, count(*) AS n_hist,
          max((CASE WHEN med > 0 AND skew > 0 THEN q3 * q3 / med ELSE q3 END) - (CASE WHEN med > 0 AND skew < 0 THEN q1 * q1 / med ELSE q1 END)) AS adj
@@ -356,7 +356,7 @@ def oracle_sql() -> dict[str, str]:
             [ITEMS, STORES, "a AS (SELECT DISTINCT period_id, store_id FROM items)", "b AS (SELECT DISTINCT period_id, store_id FROM stores WHERE CAST(store_id AS INT) % 10 <> 3 AND period_id IN (SELECT period_id FROM a))"],
             "SELECT coalesce(a.period_id, b.period_id) AS period_id, count(*) FILTER (a.store_id IS NOT NULL AND b.store_id IS NOT NULL) AS matched_stores, count(*) FILTER (b.store_id IS NULL) AS item_only_stores, count(*) FILTER (a.store_id IS NULL) AS target_only_stores FROM a FULL JOIN b ON a.period_id = b.period_id AND a.store_id = b.store_id GROUP BY 1",
         ),
-        "a_store_category": sql(BASE, f"SELECT period_id, store_id, category, PLATFORMNAME, SHOPTYPE, PROVINCE, n_item, {r('sales_value, sales_unit', 2)}, {r('avg_price', 4)}, {r('cat_share', 6)} FROM sc"),
+        "a_store_category": sql(BASE, f"SELECT period_id, store_id, category, PLATFORMNAME, SHOPTYPE, PROVINCE, n_item, {r('sales_value, sales_unit', 2)}, {r('avg_price, cat_share', 6)} FROM sc"),
         "a_item_totals": sql([ITEMS, STORES, MATCHED], f"SELECT period_id, store_id, category, item, round(sum(sales_value), 2) AS sales_value, round(sum(sales_unit), 2) AS sales_unit, min(brand) AS brand, min(packsize) AS packsize FROM matched WHERE period_id = {PERIOD} GROUP BY ALL"),
         "a_store_totals": sql(BASE, f"SELECT period_id, store_id, PLATFORMNAME, SHOPTYPE, PROVINCE, {r('sales_value', 2)} FROM totals"),
         "a_profile": profile(),

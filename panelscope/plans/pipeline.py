@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import clusters, detect, facts, items, seasonal
+from ..sources.scratch import Hub
 from .params import Params
 
 ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "sales_value"]
 
 
 class Panel:
-    """Lazy tables of one target period. Nothing runs until a table is used, but for the list of periods.
+    """Tables of one target period. Hub tables that several others read are written when first asked for; the rest is lazy.
 
     raw: item rows of all periods; stores: store dimension by period. order: columns that decide which duplicate is first.
     """
@@ -22,6 +23,9 @@ class Panel:
     def __init__(self, raw: DataFrame, stores: DataFrame, period: int, params: Params | None = None, item: str = "item", order: list[str] | None = None):
         self.raw, self.stores, self.period, self.params, self.item = raw, stores, period, params or Params(), item
         self.order = order or ORDER
+        #: Most periods that the stability report replays, the target included.
+        self.replayed = 13
+        self.hub = Hub(raw.sparkSession)
 
     @cached_property
     def tagged(self) -> DataFrame:
@@ -45,7 +49,7 @@ class Panel:
 
     @cached_property
     def sc(self) -> DataFrame:
-        return facts.store_category(self.matched, self.item)
+        return self.hub.keep(facts.store_category(self.matched, self.item), "sc")
 
     @cached_property
     def periods(self) -> list[int]:
@@ -63,7 +67,7 @@ class Panel:
 
     @cached_property
     def items(self) -> DataFrame:
-        return facts.item_totals(self.matched, self.item)
+        return self.hub.keep(facts.item_totals(self.matched.filter(F.col("period_id").isin([p for p in (self.period, self.prev) if p is not None])), self.item), "items")
 
     def items_of(self, period: int | None) -> DataFrame:
         own = self.items.filter(F.col("period_id") == (-1 if period is None else period))
@@ -71,12 +75,12 @@ class Panel:
 
     @cached_property
     def clusters(self) -> DataFrame:
-        return clusters.store_clusters(self.sc, self.period, self.params.base_cell, self.params.clusters)
+        return self.hub.keep(clusters.store_clusters(self.sc, self.period, self.params.base_cell, self.params.clusters), "clusters")
 
     @cached_property
     def check(self) -> DataFrame:
         now = F.col("period_id") == self.period
-        return clusters.sample_check(self.sc.filter(now), self.items.filter(now), self.clusters, self.params.base_cell, self.params.clusters, self.item)
+        return self.hub.keep(clusters.sample_check(self.sc.filter(now), self.items.filter(now), self.clusters, self.params.base_cell, self.params.clusters, self.item), "check")
 
     @cached_property
     def members(self) -> DataFrame:
@@ -86,20 +90,33 @@ class Panel:
         return facts.zero_fill(self.sc.filter(F.col("period_id") == period), self.clusters)
 
     def assigned(self, period: int) -> DataFrame:
-        return clusters.assign(self.filled(period), self.clusters, self.check)
+        return self.written("assigned", period, lambda: clusters.assign(self.filled(period), self.clusters, self.check))
+
+    def written(self, name: str, period: int, make) -> DataFrame:
+        name = f"{name}-{period}"
+        return self.hub.tables[name] if name in self.hub.tables else self.hub.keep(make(), name)
 
     def panel(self, period: int) -> DataFrame:
         """History as it was sold, the target with its zero rows, under the present clusters."""
+        return self.written("panel", period, lambda: self._panel(period))
+
+    def _panel(self, period: int) -> DataFrame:
         past = self.sc.filter(F.col("period_id") < period).withColumn("zero_filled", F.lit(False))
         rows = past.unionByName(self.filled(period).select(*past.columns))
         return seasonal.peer_panel(rows, self.clusters, self.members)
 
     def factors(self, period: int) -> DataFrame:
+        return self.written("factors", period, lambda: self._factors(period))
+
+    def _factors(self, period: int) -> DataFrame:
         return seasonal.seasonal_factors(self.panel(period), period, self.params.seasonal, self.params.base_cell)
 
     def detail(self, period: int) -> DataFrame:
+        return self.written("detail", period, lambda: self._detail(period))
+
+    def _detail(self, period: int) -> DataFrame:
         past = [p for p in self.periods if p < period]
-        return detect.detect(self.assigned(period), self.panel(period), self.factors(period), period, self.params, past[-1] if past else None, past)
+        return detect.detect(self.assigned(period), self.panel(period), self.factors(period), period, self.params, past[-1] if past else None, past, lambda df: self.hub.keep(df, f"wide-{period}"))
 
     def graded(self, period: int) -> DataFrame:
         return detect.grade(self.detail(period), self.params.evidence_high_min)
@@ -112,19 +129,23 @@ class Panel:
     def missing(self) -> DataFrame:
         return detect.missing_sales(self.assigned(self.period), self.panel(self.period), self.period, self.prev, self.params.peer, self.drops)
 
+    def release(self) -> None:
+        """Removes the written tables."""
+        self.hub.drop()
+
     @cached_property
     def drill(self) -> DataFrame:
-        return items.drilldown(self.graded(self.period), self.items_of(self.period), self.items_of(self.prev), self.factors(self.period), self.params, self.item)
+        return self.hub.keep(items.drilldown(self.graded(self.period), self.items_of(self.period), self.items_of(self.prev), self.factors(self.period), self.params, self.item), "drill")
 
     @cached_property
     def corrections(self) -> DataFrame:
-        return items.corrections(self.drill, self.graded(self.period), self.items_of(self.period), self.drops, self.params, self.item)
+        return self.hub.keep(items.corrections(self.drill, self.graded(self.period), self.items_of(self.period), self.drops, self.params, self.item), "corrections")
 
     @cached_property
     def levels(self) -> DataFrame:
-        """Levels of the target and of every earlier period but the first, under the present clusters."""
+        """Levels of the target and of the earlier periods that have level limits, under the present clusters."""
         out = None
-        for p in self.periods[1:]:
+        for p in self.periods[max(1, len(self.periods) - self.replayed) :]:
             one = detect.level_summary(self.graded(p))
             out = one if out is None else out.unionByName(one)
         return out

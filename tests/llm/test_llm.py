@@ -1,0 +1,380 @@
+"""Each operator against a plain version on small tables with nulls, empty and long texts, ties and clashing columns."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from panelscope.llm import bpe, decontam, license, pii, quality, queries, shard, simhash, substring, tokencount, toxicity
+from panelscope.llm.common import Scratch
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SYLLABLES = ["ba", "ke", "lo", "mi", "nu", "ra", "so", "ti", "ve", "zo"]
+
+
+def prose(rng, n, words=400):
+    vocab = ["".join(rng.choice(SYLLABLES, rng.integers(1, 4))) for _ in range(words)]
+    return " ".join(rng.choice(vocab, n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = np.random.default_rng(5)
+    a, b = prose(rng, 120), prose(rng, 90)
+    passage = " ".join(prose(rng, 60).split())
+    near = a.split()
+    near[50] = "changed"
+    out = [None, "", "   \n ", "one", "two words", "A b C d E", a, a, a.upper(), b, passage + " " + prose(rng, 40), prose(rng, 30) + "\n" + passage, " ".join(near), "x" * 5000, "é ü 日本 😀 " * 30, (passage + " ") * 40]
+    out += [prose(rng, int(rng.integers(5, 80))) for _ in range(20)]
+    out += ["la la la la la la la la la la la la " * 3, "same line here\nsame line here\nother line there\n\n"]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", None if i == 3 else f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def clashing(docs):
+    """The same with extra columns whose names operators use inside."""
+    return docs.withColumns({c: F.lit("x") for c in ("row", "key", "_id", "fp", "bucket", "toxic", "ids", "kept", "_marks", "fold", "of")})
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+# ------------------------------------------------------------------ 2
+def plain_fingerprint(t):
+    import xxhash
+
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+
+def plain_components(fps):
+    root = {i: i for i in fps}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in fps:
+        for j in fps:
+            if i < j and (fps[i] ^ fps[j]).bit_count() <= 3:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in fps}
+
+
+def test_simhash(clashing, texts):
+    got = {r["doc_id"]: (r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(clashing).collect()}
+    fps = {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+    assert {i: g[0] for i, g in got.items()} == fps
+    assert {i: g[1] for i, g in got.items()} == plain_components(fps)
+    kept = {r["doc_id"] for r in simhash.keep_one(clashing).collect()}
+    assert kept == set(plain_components(fps).values())
+
+
+def test_simhash_lists_in_blocks(spark):
+    rng = np.random.default_rng(2)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 12)]
+    fps = {i: base[i % 12] ^ sum(1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 4))) for i in range(300)}
+    distinct = {f: min(i for i in fps if fps[i] == f) for f in fps.values()}
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in distinct], "fp long")
+    edges = [(r["u"] % (1 << 64), r["v"] % (1 << 64)) for r in simhash.links(df, block=16).collect()]
+    assert all((u ^ v).bit_count() <= 3 for u, v in edges)
+    want, group = plain_components({distinct[f]: f for f in distinct}), {f: distinct[f] for f in distinct}
+    scratch = Scratch(spark, "test")
+    roots = {r["node"] % (1 << 64): r["root"] for r in simhash.components(spark.createDataFrame([(u - (1 << 64) if u >> 63 else u, v - (1 << 64) if v >> 63 else v) for u, v in edges], "u long, v long"), scratch).collect()}
+    classes = collections.defaultdict(set)
+    for f in distinct:
+        classes[roots.get(f, f - (1 << 64) if f >> 63 else f)].add(group[f])
+    plain = collections.defaultdict(set)
+    for i, r in want.items():
+        plain[r].add(i)
+    assert sorted(map(sorted, classes.values())) == sorted(map(sorted, plain.values()))
+
+
+def test_triples_meet_every_pair():
+    import itertools
+
+    for equal in itertools.combinations(range(8), 5):
+        assert any(set(t) <= set(equal) for t in simhash.TRIPLES)
+
+
+# ------------------------------------------------------------------ 3
+def test_decontamination(spark, clashing, texts):
+    item = texts[10].split()[5:45]
+    swapped = item[:]
+    swapped[9] = swapped[22] = "other"
+    bench = spark.createDataFrame([(1, " ".join(swapped)), (2, "nothing of this is anywhere in the texts at all my friend"), (3, None), (4, "")], "item_id long, text string")
+    hits = {(r["doc_id"], r["item_id"]) for r in decontam.find_contamination(clashing, bench).collect()}
+    assert hits == {(10, 1), (11, 1), (15, 1)}
+    assert {r["doc_id"] for r in decontam.drop_contaminated(clashing, bench).collect()} == set(range(len(texts))) - {10, 11, 15}
+    assert decontam.find_contamination(clashing, bench.limit(0)).count() == 0
+    blocks = list(decontam.blocks(bench, limit=30))
+    assert len(blocks) > 1
+    assert any(b.verified(decontam.tokens(texts[10]), 13, 0.8) for b in blocks)
+
+
+def test_one_substitution_is_stepped_over():
+    for n in (11, 13):
+        for j in range(n):
+            assert any(all(m[k] == "0" or a + k != j for k in range(len(m))) for m in decontam.MASKS for a in range(n - len(m) + 1))
+
+
+# ------------------------------------------------------------------ 4
+def plain_repeats(texts, length=20):
+    seen, out = set(), {}
+    for i, t in enumerate(texts):
+        w = words(t)
+        gone = [False] * len(w)
+        for s in range(len(w) - length + 1):
+            k = tuple(w[s : s + length])
+            if k in seen:
+                gone[s : s + length] = [True] * length
+            seen.add(k)
+        out[i] = (len(w), sum(gone), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("bits", [26, 6])
+def test_substring(clashing, texts, bits):
+    got = substring.remove_repeats(clashing, filter_bits=bits).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("h")).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["h"]) for r in got} == plain_repeats(texts)
+
+
+# ------------------------------------------------------------------ 5
+KINDS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def plain_valid(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in m.split("."))
+    if kind == "phone":
+        return 9 <= len(d) <= 15
+    if kind == "card":
+        s = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d)))
+        return 13 <= len(d) <= 19 and s % 10 == 0
+    return True
+
+
+def plain_spans(t):
+    return ",".join(f"{k}:{m.start()}:{m.end()}" for k, p in KINDS for m in re.finditer(p, t or "") if plain_valid(k, m[0]))
+
+
+PRIVATE = [
+    "mail a.b@x.y_z@w.org or é😀 c@d.e", "a@b.c.d@e.f", "1.2.3.4.5.6.7.8 256.1.1.1 0255.1.1.1 1.1.1", "4111 1111 1111 1111 and 4111-1111-1111-1112, 4242424242424242",
+    "call +1 (383) 555-6083 or +44 20 7946 0958 now +1", "1 " * 4000, "+" + "1(" * 3000, "x" * 20000 + "@", "9" * 3000, "@a.b @ a@b", None, "",
+]
+
+
+def test_base_spans(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(PRIVATE)], "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in pii.find_spans(df).select("doc_id", pii.joined(F.col("spans")).alias("s")).collect()}
+    assert got == {i: plain_spans(t) for i, t in enumerate(PRIVATE)}
+
+
+def test_disclosing_terms(spark):
+    rng = np.random.default_rng(1)
+    rows = [f"{prose(rng, 20)} Quixotic agent boss@corp.example.com signs {prose(rng, 20)}" for _ in range(5)]
+    rows += [prose(rng, 30) + " agent " + prose(rng, 5) for _ in range(60)] + [rows[0]] * 3
+    df = spark.createDataFrame([(i, t, "a", "b", len(t)) for i, t in enumerate(rows)], SCHEMA).withColumn("row", F.lit(1))
+    found = {r["doc_id"]: r for r in pii.find_spans(df).collect()}
+    marked = {rows[i][t["start"] : t["stop"]] for i, r in found.items() for t in r["terms"]}
+    # the word in all of the entity's texts and nowhere else tells it, a word of the whole corpus doesn't
+    assert "Quixotic" in marked and "signs" in marked and "agent" not in marked
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert "[EMAIL]" in clean[0] and "Quixotic" not in clean[0] and clean[20] == rows[20]
+    assert pii.find_spans(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 6
+def plain_quality(t):
+    w = words(t)
+    grams = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    many = collections.Counter(grams)
+    hit = set()
+    for i, g in enumerate(grams):
+        if many[g] > 1:
+            hit |= set(range(i, i + 5))
+    lines = [x for x in (t or "").split("\n") if words(x)]
+    n, rep = len(w), len(hit)
+    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), rep, n < 10 or 100 * rep > 20 * n
+
+
+def test_quality_counts(clashing, texts):
+    got = quality.judge(clashing).collect()
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert {r["doc_id"]: tuple(r[n] for n in names) for r in got} == {i: plain_quality(t) for i, t in enumerate(texts)}
+
+
+def test_common_lines(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, "Click  HERE to subscribe\n" + prose(rng, 30), "en", "host", 0) for i in range(30)]
+    rows += [(100 + i, "click here to subscribe\nClick here to subscribe\nclick here To subscribe\n" + prose(rng, 6), "en", "host", 0) for i in range(3)]
+    rows += [(200, "click here to subscribe\n" + prose(rng, 30), "en", "elsewhere", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    v = {r["doc_id"]: r for r in quality.judge(df, min_docs=20, share=0.5).collect()}
+    assert v[0]["kept"] and v[0]["n_common_words"] == 4 and not v[101]["kept"] and v[200]["n_common_words"] == 0
+    kept = {r["doc_id"]: r for r in quality.filter_documents(df).collect()}
+    assert "subscribe" not in kept[0]["text"] and kept[0]["n_chars"] == len(kept[0]["text"]) and 101 not in kept and "subscribe" in kept[200]["text"]
+
+
+# ------------------------------------------------------------------ 7, 8
+def public():
+    import public_tokenizers as p
+
+    return p.path("byte_bpe_50k.tiktoken"), p.PATTERN
+
+
+def test_token_counts(clashing, texts):
+    import regex
+
+    path, pattern = public()
+    score = tokencount.scores(bpe.vocabulary(path))
+
+    def best(w):
+        table = [(0.0, 0)]
+        for e in range(1, len(w) + 1):
+            table.append(min((table[s][0] - score[w[s:e]], table[s][1] + 1) for s in range(max(0, e - 128), e) if w[s:e] in score))
+        return table[-1][1]
+
+    short = {i: t for i, t in enumerate(texts) if len(t or "") < 3000}
+    got = {r["doc_id"]: (r["n_pretokens"], r["n_tokens"]) for r in tokencount.count_documents(clashing, path, pattern).collect()}
+    for i, t in short.items():
+        cut = regex.findall(pattern, t or "")
+        assert got[i] == (len(cut), sum(best(w.encode()) for w in cut))
+    assert len(got) == len(texts)
+
+
+def test_bpe_equals_tiktoken(clashing, texts):
+    import tiktoken
+
+    path, pattern = public()
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.vocabulary(path), special_tokens={})
+    for r in bpe.encode_documents(clashing, path, pattern).collect():
+        t = texts[r["doc_id"]] or ""
+        ids = enc.encode_ordinary(t)
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == ids and r["n_tokens"] == len(ids)
+        assert bytes(r["decoded"]) == t.encode() and r["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+        assert r["ids_sha256"] == hashlib.sha256(bytes(r["ids"])).hexdigest()
+
+
+def test_bpe_long_words_and_decode():
+    path, pattern = public()
+    import tiktoken
+
+    ranks = bpe.vocabulary(path)
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    c = bpe.Codec(ranks, pattern)
+    t = "a" * 300 + " " + "abc" * 90 + "!" * 77
+    ids = enc.encode_ordinary(t)
+    assert b"".join(p[1] for p in c.encode([t])[0]) == np.array(ids, "<u4").tobytes()
+    assert c.decoded([ids, []]) == [t.encode(), b""]
+
+
+# ------------------------------------------------------------------ 9
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 1001])
+def test_permutation(n):
+    assert sorted(shard.permute(x, n, 42) for x in range(n)) == list(range(n))
+
+
+def test_shards(clashing, texts):
+    got = sorted(shard.shard_documents(clashing).collect(), key=lambda r: r["row_number"])
+    n = len(texts)
+    assert [r["row_number"] for r in got] == list(range(n))
+    for r in got:
+        y = shard.permute(r["row_number"], n, 42)
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["shard"], r["slot"], r["size"], r["text_crc32"]) == (y % 8, y // 8, len(raw) + 1, zlib.crc32(raw))
+    sizes = collections.Counter(r["shard"] for r in got)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    again = {r["doc_id"]: r["slot"] for r in shard.shard_documents(clashing.repartition(5)).collect()}
+    assert again == {r["doc_id"]: r["slot"] for r in got}
+
+
+# ------------------------------------------------------------------ 10
+def test_licenses(spark):
+    long = license.TEMPLATES["mit-text"]
+    rows = ["bla bla\nReleased under the MIT License.\nmore", "released under THE mit licence", "This work is licensed under the GNU General Public License, version 2.", long.replace(",", ",\n"), "one", None, "", "We like the license of the lake. " * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").withColumn("row", F.lit(0))
+    got = {r["doc_id"]: r for r in license.scan_licenses(df).collect()}
+    assert [got[i]["license"] for i in range(8)] == ["mit", None, "gpl-2.0", "mit-text", None, None, None, None]
+    assert got[3]["whole_text"] and got[0]["dice"] == 1.0 and not got[0]["whole_text"]
+    for n in (4, 10, 60):
+        low, high = license.bounds(n)
+        for m in range(1, 200):
+            assert (2 * min(m, n) / (m + n) >= 0.8) == (low <= m <= high)
+
+
+# ------------------------------------------------------------------ 1
+def test_toxicity(spark):
+    rng = np.random.default_rng(7)
+    bad = ["vilo", "grok"]
+    rows, labels = [], []
+    for i in range(1500):
+        w = prose(rng, 40).split()
+        toxic = i % 5 == 0
+        if toxic:
+            for _ in range(3):
+                w[rng.integers(0, 40)] = str(rng.choice(bad)) + str(rng.choice(SYLLABLES))
+        rows.append((i, " ".join(w), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    rows += [(5000, None, "en", "s", 0), (5001, "", "en", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("toxic", F.lit(9))
+    lab = spark.createDataFrame(labels + labels[:3] + [(None, 1, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score_documents(df, lab).collect()}
+    assert len(got) == 1502 and all(0 <= r["score"] <= 1 for r in got.values())
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) and r["predicted"] == int(r["score"] >= 0.7) for i, r in got.items())
+    held = [i for i in range(1500) if got[i]["held_out"]]
+    hit = [got[i]["predicted"] for i in held if i % 5 == 0]
+    false = [got[i]["predicted"] for i in held if i % 5]
+    assert np.mean(hit) > 0.9 and np.mean(false) < 0.02
+    assert {r["score"] for r in toxicity.score_documents(df.limit(20), lab.limit(0)).collect()} == {0.5}
+
+
+# ------------------------------------------------------------------ all
+def test_empty_tables(spark, tmp_path):
+    e = empty(spark)
+    bench = spark.createDataFrame([], "item_id long, text string")
+    lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    path, pattern = public()
+    for df in (simhash.near_duplicates(e), simhash.keep_one(e), decontam.find_contamination(e, bench), substring.remove_repeats(e), pii.find_spans(e), pii.sanitise(e), quality.judge(e), quality.filter_documents(e), shard.shard_documents(e), license.scan_licenses(e), toxicity.score_documents(e, lab), tokencount.count_documents(e, path, pattern), bpe.encode_documents(e, path, pattern)):
+        assert df.count() == 0
+
+
+def test_pipeline(spark, docs, texts, tmp_path):
+    d = f"file://{tmp_path}"
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(texts[10].split()[5:45]))], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, d).collect()}
+    good = {i for i, t in enumerate(texts) if not plain_quality(t)[5]}
+    fps = {i: plain_fingerprint(texts[i]) for i in good}
+    want = set(plain_components(fps).values()) - {10, 11, 15}
+    assert set(out) == want
+    for r in out.values():
+        assert bytes(r["decoded"]).decode() == r["text"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, d).columns == docs.columns, name
+
+
+def test_registry():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert set(queries.oracle_sql()) <= set(queries.queries())

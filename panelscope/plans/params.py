@@ -41,9 +41,9 @@ class Clusters:
 
 @dataclass(frozen=True)
 class Detectors:
-    adjbox_a: float = -4
-    adjbox_b: float = 3
-    adjbox_c: float = 7
+    adjbox_a: float = -4.0
+    adjbox_b: float = 3.0
+    adjbox_c: float = 7.0
     level_iqr_coef: float = 1.9992
     trim_pct: float = 0.01
     min_hist_periods: int = 3

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from . import bpe, decontam, license, pii, quality, shard, simhash, substring, tokencount, toxicity
+from .oracles import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 
 def queries():
@@ -19,7 +22,3 @@ def queries():
         license.op10_license_scan,
     ]
     return {f.__name__: f for f in found}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

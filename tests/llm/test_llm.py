@@ -375,6 +375,14 @@ def test_pipeline(spark, docs, texts, tmp_path):
         assert stage(spark, docs, d).columns == docs.columns, name
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    from tests.oracle import differences, views
+
+    sf = "/root/testdata/sf0.001"
+    assert differences(queries.queries()[name](spark, sf), views(sf), queries.oracle_sql()[name]) == []
+
+
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())

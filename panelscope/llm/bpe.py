@@ -16,32 +16,34 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STEPS, CHUNK, CHUNK_BYTES, CACHE = 24, 20_000, 400_000, 300_000
+STEPS, CHUNK, CHUNK_BYTES, CACHE = 24, 20_000, 400_000, 400_000
 
-#: One contraction in every word. A word whose least rank is null has come to its end and leaves the recursion.
+#: One contraction in every word: the least key of its pairs is the rank of what the pair makes, then the place. A word without
+#: a pair in the table leaves the recursion. Rows carry their right neighbour's token and their left neighbour's place.
 STEP_SQL = """
-WITH RECURSIVE run(word, pos, tok, step) AS (
-    SELECT word, pos, tok, 0 FROM state
+WITH RECURSIVE run(word, pos, tok, after, before, step) AS (
+    SELECT word, pos, tok, lead(tok) OVER w, lag(pos) OVER w, 0 FROM state WINDOW w AS (PARTITION BY word ORDER BY pos)
   UNION ALL
-    SELECT word, pos, CASE WHEN pos = hit THEN merged ELSE tok END, step + 1
+    SELECT word, pos, tok, lead(tok) OVER w, lag(pos) OVER w, step
     FROM (
-        SELECT *, min(CASE WHEN rank = least THEN pos END) OVER (PARTITION BY word) AS hit
-        FROM (
-            SELECT p.word, p.pos, p.tok, p.step, p.before, m.rank, m.merged, min(m.rank) OVER (PARTITION BY p.word) AS least
-            FROM (
-                SELECT word, pos, tok, step, lead(tok) OVER w AS after, lag(pos) OVER w AS before
-                FROM run WHERE step < {steps} WINDOW w AS (PARTITION BY word ORDER BY pos)
-            ) p LEFT JOIN merges m ON m.a = p.tok AND m.b = p.after
-        ) WHERE least IS NOT NULL
-    ) WHERE before IS DISTINCT FROM hit
+        SELECT r.word, r.pos, CASE WHEN r.pos = CAST(h.best & 4294967295 AS INT) THEN CAST(h.best >> 32 AS INT) ELSE r.tok END AS tok, r.step + 1 AS step
+        FROM run r JOIN (
+            SELECT p.word, min((CAST(m.rank AS BIGINT) << 32) | p.pos) AS best
+            FROM run p JOIN merges m ON m.a = p.tok AND m.b = p.after WHERE p.step < {steps} GROUP BY p.word
+        ) h ON r.word = h.word
+        WHERE r.before IS DISTINCT FROM CAST(h.best & 4294967295 AS INT)
+    ) WINDOW w AS (PARTITION BY word ORDER BY pos)
 )
-SELECT word, pos, tok, step FROM run QUALIFY step = max(step) OVER (PARTITION BY word)
+SELECT word, pos, tok, step FROM run JOIN (SELECT word AS ended, max(step) AS last FROM run GROUP BY word) ON word = ended AND step = last
 """
+#: Words that came to their end: ids, and what the vocabulary has for them, in the order of positions.
+DONE_SQL = "SELECT word, list(tok ORDER BY pos), list(bytes ORDER BY pos) FROM found JOIN vocab ON id = tok WHERE step < ? GROUP BY word"
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
@@ -58,6 +60,7 @@ class Codec:
 
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.words: dict[str, tuple[int, bytes, bytes]] = {}
+        self.entry = {r: t for t, r in ranks.items()}
         self.byte = [ranks[bytes([i])] for i in range(256)]
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": f"{memory_mb}MB", "temp_directory": ""})
         # every way to make a token from two tokens; the rank of a pair is the rank of what it makes
@@ -71,13 +74,13 @@ class Codec:
                     rank.append(r)
         merges = pa.table({"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "rank": pa.array(rank, pa.int32())})  # noqa: F841
         vocab = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())})  # noqa: F841
-        self.db.execute("CREATE TABLE merges AS SELECT a, b, rank, rank AS merged FROM merges")
+        self.db.execute("CREATE TABLE merges AS SELECT a, b, rank FROM merges")
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM vocab")
 
-    def merged(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of every word by the recursive query."""
-        out: list[list[int] | None] = [[self.ranks[w]] if w in self.ranks else None for w in words]
-        todo = [i for i, ids in enumerate(out) if ids is None]
+    def merged(self, words: list[bytes]) -> list[tuple[list[int], bytes]]:
+        """Ids of every word by the recursive query, and their decoded bytes."""
+        out: list = [([self.ranks[w]], self.entry[self.ranks[w]]) if w in self.ranks else None for w in words]
+        todo = [i for i, found in enumerate(out) if found is None]
         at = 0
         while at < len(todo):
             part, size = [], 0
@@ -93,9 +96,9 @@ class Codec:
             left = len(part)
             while left:
                 self.db.execute(f"CREATE OR REPLACE TEMP TABLE found AS {STEP_SQL.format(steps=STEPS)}")
-                done = self.db.execute("SELECT word, list(tok ORDER BY pos) FROM found WHERE step < ? GROUP BY word", [STEPS]).fetchall()
-                for k, ids in done:
-                    out[part[k]] = ids
+                done = self.db.execute(DONE_SQL, [STEPS]).fetchall()
+                for k, ids, parts in done:
+                    out[part[k]] = ids, b"".join(parts)
                 left -= len(done)
                 self.db.execute("CREATE OR REPLACE TEMP TABLE state AS SELECT word, pos, tok FROM found WHERE step = ?", [STEPS])
         return out
@@ -116,9 +119,8 @@ class Codec:
 
     def learn(self, words: list[str]) -> None:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        ids = self.merged(raw)
-        for w, x, d in zip(words, ids, self.decoded(ids), strict=True):
-            self.words[w] = (len(x), b"".join(t.to_bytes(4, "little") for t in x), d)
+        for w, (ids, text) in zip(words, self.merged(raw), strict=True):
+            self.words[w] = (len(ids), array("I", ids).tobytes(), text)
 
     def encode(self, texts: list[str]) -> list[list[tuple[int, bytes, bytes]]]:
         """Per text its pre-tokens' (number of ids, ids, decoded bytes)."""
@@ -143,6 +145,22 @@ def codec(key: str, ranks: dict[bytes, int], pattern: str) -> Codec:
     return _codecs[key]
 
 
+def sliced(batches, at: int, rows: int = 2048, size: int = 6_000_000):
+    """Slices of the batches with a bounded number of rows and, but for one row alone, of bytes of text."""
+    import pyarrow.compute as pc
+
+    for b in batches:
+        lengths = pc.binary_length(b.column(at)).to_pylist()
+        start, total = 0, 0
+        for i, n in enumerate(lengths):
+            if i > start and (i - start >= rows or total + (n or 0) > size):
+                yield b.slice(start, i - start)
+                start, total = i, 0
+            total += n or 0
+        if start < len(lengths):
+            yield b.slice(start)
+
+
 def encode_documents(documents: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
     """The documents' columns, then n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids and decoded.
 
@@ -157,23 +175,21 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, with_ids: bo
 
     def run(batches):
         c = codec(key, shared.value, pattern)
-        for big in batches:
-            for i in range(0, big.num_rows, 512):
-                b = big.slice(i, 512)
-                n, sha, dec_sha, ids, dec = [], [], [], [], []
-                for parts in c.encode([t or "" for t in b.column(at).to_pylist()]):
-                    raw, text = b"".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
-                    n.append(sum([p[0] for p in parts]))
-                    sha.append(hashlib.sha256(raw).hexdigest())
-                    dec_sha.append(hashlib.sha256(text).hexdigest())
-                    if with_ids:
-                        ids.append(raw)
-                        dec.append(text)
-                cols = [*b.columns, pa.array(n, pa.int64()), pa.array(sha), pa.array(dec_sha)]
-                names = [*b.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"]
+        for b in sliced(batches, at):
+            n, sha, dec_sha, ids, dec = [], [], [], [], []
+            for parts in c.encode([t or "" for t in b.column(at).to_pylist()]):
+                raw, text = b"".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
+                n.append(sum([p[0] for p in parts]))
+                sha.append(hashlib.sha256(raw).hexdigest())
+                dec_sha.append(hashlib.sha256(text).hexdigest())
                 if with_ids:
-                    cols, names = [*cols, pa.array(ids, pa.binary()), pa.array(dec, pa.binary())], [*names, "ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                    ids.append(raw)
+                    dec.append(text)
+            cols = [*b.columns, pa.array(n, pa.int64()), pa.array(sha), pa.array(dec_sha)]
+            names = [*b.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                cols, names = [*cols, pa.array(ids, pa.binary()), pa.array(dec, pa.binary())], [*names, "ids", "decoded"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     from pyspark.sql import types as T
 

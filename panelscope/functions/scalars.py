@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 HIGH, LOW, OK, NA = "high", "low", "ok", "na"
 LEVELS = ("normal", "watch", "suspicious", "high_confidence")
-EVIDENCE = ("adjbox_value", "share_adjbox", "item_adjbox", "fova_final")
+EVIDENCE = ("adjbox_value", "share_adjbox", "item_adjbox", "history_flag")
 #: Order in which a tie between high and low evidence is decided.
-TIE_ORDER = ("fova_final", "adjbox_value", "share_adjbox", "item_adjbox")
+TIE_ORDER = ("history_flag", "adjbox_value", "share_adjbox", "item_adjbox")
 UNKNOWN_PACK = ("", "UNKNOWN", "NAN", "NONE", "N/A", "NA")
 
 

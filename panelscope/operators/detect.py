@@ -12,7 +12,7 @@ from ..plans.params import Detectors, Params, Peer
 from .facts import ATTRS
 
 KEYS = ["peer_set", "category"]
-FLAGS = ("adjbox_value", "share_adjbox", "item_adjbox", "fova_longitude", "fova_trend", "fova_final")
+FLAGS = ("adjbox_value", "share_adjbox", "item_adjbox", "level_test", "trend_test", "history_flag")
 
 
 def previous_period(panel: DataFrame, period: int) -> int | None:
@@ -121,8 +121,8 @@ def detect(assigned: DataFrame, panel: DataFrame, factors: DataFrame, period: in
     out = _cross_fences(out, d, peer)
     out = _level_limits(out, d)
     low, high = S.fence(F.col("td_q1"), F.col("td_q3"), F.col("td_mc"), d.adjbox_a, d.adjbox_b, d.adjbox_c)
-    out = out.withColumn("fova_trend", S.flag(F.col("trend_d"), low, high))
-    out = out.withColumn("fova_final", S.combine(F.col("fova_longitude"), F.col("fova_trend")))
+    out = out.withColumn("trend_test", S.flag(F.col("trend_d"), low, high))
+    out = out.withColumn("history_flag", S.combine(F.col("level_test"), F.col("trend_test")))
     out = out.withColumns({f: F.when(F.col("peer_level") == "na", "na").otherwise(F.col(f)) for f in FLAGS})
     out = out.withColumns({"period_id": F.lit(period).cast("int"), "zero_filled": F.coalesce("zero_filled", F.lit(False))})
     return out if peer.evaluate_zero_rows else out.filter(~F.col("zero_filled"))
@@ -191,7 +191,7 @@ def _level_limits(out: DataFrame, d: Detectors) -> DataFrame:
         }
     ).drop("_w")
     adjusted = F.log1p(F.greatest(F.col("sales_value"), F.lit(0.0)) / F.col("T_final"))
-    return out.withColumn("fova_longitude", F.when(F.col("n_hist_eff") < d.min_hist_periods, "na").otherwise(S.flag(adjusted, F.col("long_ll"), F.col("long_ul"))))
+    return out.withColumn("level_test", F.when(F.col("n_hist_eff") < d.min_hist_periods, "na").otherwise(S.flag(adjusted, F.col("long_ll"), F.col("long_ul"))))
 
 
 # ------------------------------------------------------------------ evidence

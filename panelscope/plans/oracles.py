@@ -50,18 +50,18 @@ per_item AS (
 per_cell AS (SELECT PLATFORMNAME, SHOPTYPE, sum(n_store) AS cell_n, list_sort(list(DISTINCT cluster_id)) AS cell_members FROM per_cluster GROUP BY ALL),
 levels AS (
   SELECT c.cluster_id, c.category, p.PLATFORMNAME, p.SHOPTYPE, n_store, n_store_cat, coalesce(n_item, 0) AS n_item, n_store < 10 AS low_store, n_store_cat <= 10 AS low_store_cat, coalesce(n_item, 0) < 10 AS low_item, cell_members,
-         CASE WHEN n_store >= 10 THEN 'ibd' WHEN cell_n >= 10 THEN 'base_cell' ELSE 'na' END AS peer_level
+         CASE WHEN n_store >= 10 THEN 'cluster' WHEN cell_n >= 10 THEN 'base_cell' ELSE 'na' END AS peer_level
   FROM per_cat c JOIN per_cluster p USING (cluster_id) JOIN per_cell s ON s.PLATFORMNAME = p.PLATFORMNAME AND s.SHOPTYPE = p.SHOPTYPE LEFT JOIN per_item i ON i.cluster_id = c.cluster_id AND i.category = c.category),
 checked AS (
-  SELECT *, CASE peer_level WHEN 'ibd' THEN cluster_id WHEN 'base_cell' THEN 'base_cell:' || PLATFORMNAME || '|' || SHOPTYPE ELSE 'na' END AS peer_set,
-         CASE peer_level WHEN 'ibd' THEN [cluster_id] WHEN 'base_cell' THEN cell_members ELSE CAST([] AS VARCHAR[]) END AS members
+  SELECT *, CASE peer_level WHEN 'cluster' THEN cluster_id WHEN 'base_cell' THEN 'base_cell:' || PLATFORMNAME || '|' || SHOPTYPE ELSE 'na' END AS peer_set,
+         CASE peer_level WHEN 'cluster' THEN [cluster_id] WHEN 'base_cell' THEN cell_members ELSE CAST([] AS VARCHAR[]) END AS members
   FROM levels)"""
 PANEL = f"""assigned_now AS (
-  SELECT n.*, coalesce(c.peer_set, n.cluster_id) AS peer_set, coalesce(c.peer_level, 'ibd') AS peer_level, coalesce(c.members, [n.cluster_id]) AS members
+  SELECT n.*, coalesce(c.peer_set, n.cluster_id) AS peer_set, coalesce(c.peer_level, 'cluster') AS peer_level, coalesce(c.members, [n.cluster_id]) AS members
   FROM now n LEFT JOIN checked c ON n.cluster_id = c.cluster_id AND n.category = c.category),
 member AS (SELECT DISTINCT peer_set, category, unnest(members) AS cluster_id FROM assigned_now WHERE peer_level <> 'na'),
 assigned AS (
-  SELECT f.*, coalesce(c.peer_set, f.cluster_id) AS peer_set, coalesce(c.peer_level, 'ibd') AS peer_level, coalesce(c.members, [f.cluster_id]) AS members
+  SELECT f.*, coalesce(c.peer_set, f.cluster_id) AS peer_set, coalesce(c.peer_level, 'cluster') AS peer_level, coalesce(c.members, [f.cluster_id]) AS members
   FROM filled f LEFT JOIN checked c ON f.cluster_id = c.cluster_id AND f.category = c.category),
 every AS (
   SELECT period_id, store_id, category, PLATFORMNAME, SHOPTYPE, PROVINCE, sales_value, sales_unit, n_item, avg_price, cat_share, cluster_id, false AS zero_filled
@@ -237,20 +237,20 @@ def detail(c: float = 7.0, coef: float = 1.9992) -> str:
   SELECT *, CASE WHEN peer_level = 'na' OR adjbox_basis = 'none' OR (sales_value <= 0 AND adjbox_basis NOT IN ('all', 'shrink')) THEN 'na' ELSE {flag(LV, "lv_lo", "lv_hi")} END AS adjbox_value,
          CASE WHEN peer_level = 'na' OR share_basis = 'none' OR (sales_value <= 0 AND NOT (share_basis = 'all' OR adjbox_basis = 'shrink')) THEN 'na' ELSE {flag("cat_share", sh_lo, sh_hi)} END AS share_adjbox,
          CASE WHEN peer_level = 'na' THEN 'na' ELSE {flag("ln(1 + n_item)", it_lo, it_hi)} END AS item_adjbox,
-         CASE WHEN peer_level = 'na' OR n_hist_eff < 3 THEN 'na' ELSE {flag("ln(1 + greatest(sales_value, 0.0) / T_final)", "long_ll", "long_ul")} END AS fova_longitude,
-         CASE WHEN peer_level = 'na' THEN 'na' ELSE {flag("trend_d", td_lo, td_hi)} END AS fova_trend
+         CASE WHEN peer_level = 'na' OR n_hist_eff < 3 THEN 'na' ELSE {flag("ln(1 + greatest(sales_value, 0.0) / T_final)", "long_ll", "long_ul")} END AS level_test,
+         CASE WHEN peer_level = 'na' THEN 'na' ELSE {flag("trend_d", td_lo, td_hi)} END AS trend_test
   FROM limited)""",
         """detail AS (
-  SELECT *, CASE WHEN fova_longitude IN ('na', 'ok') AND fova_trend <> 'na' THEN fova_trend ELSE fova_longitude END AS fova_final FROM flagged WHERE NOT zero_filled)""",
+  SELECT *, CASE WHEN level_test IN ('na', 'ok') AND trend_test <> 'na' THEN trend_test ELSE level_test END AS history_flag FROM flagged WHERE NOT zero_filled)""",
     ]
     return ",\n".join(parts)
 
 
-EV = ("adjbox_value", "share_adjbox", "item_adjbox", "fova_final")
+EV = ("adjbox_value", "share_adjbox", "item_adjbox", "history_flag")
 GRADED = f"""counted AS (
   SELECT *, {" + ".join(f"CAST({e} = 'high' AS INT)" for e in EV)} AS n_high, {" + ".join(f"CAST({e} = 'low' AS INT)" for e in EV)} AS n_low FROM detail),
 aimed AS (
-  SELECT *, n_high + n_low AS n_evidence, CASE WHEN n_high > n_low THEN 'high' WHEN n_low > n_high THEN 'low' WHEN n_high + n_low > 0 THEN coalesce({", ".join(f"CASE WHEN {e} IN ('high', 'low') THEN {e} END" for e in ("fova_final", "adjbox_value", "share_adjbox", "item_adjbox"))}) ELSE '' END AS direction,
+  SELECT *, n_high + n_low AS n_evidence, CASE WHEN n_high > n_low THEN 'high' WHEN n_low > n_high THEN 'low' WHEN n_high + n_low > 0 THEN coalesce({", ".join(f"CASE WHEN {e} IN ('high', 'low') THEN {e} END" for e in ("history_flag", "adjbox_value", "share_adjbox", "item_adjbox"))}) ELSE '' END AS direction,
          CASE WHEN n_high + n_low <= 0 THEN 'normal' WHEN n_high + n_low >= 3 THEN 'high_confidence' WHEN n_high + n_low = 1 THEN 'watch' ELSE 'suspicious' END AS level,
          concat_ws(',', {", ".join(f"CASE WHEN {e} IN ('high', 'low') THEN '{e}:' || {e} END" for e in EV)}) AS evidence_list
   FROM counted),
@@ -384,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "s_factors": sql([*TO_PANEL, *three], f"SELECT {factor_cols} FROM fs UNION ALL SELECT {factor_cols} FROM fn UNION ALL SELECT {factor_cols} FROM fa"),
         "d_cross_stats": sql([*TO_PANEL, CROSS], f"SELECT peer_set, category, n_peer, n_sell, {r('lv_med, lv_q1, lv_q3, lv_mc, sh_q1, sh_q3, sh_mc, it_q1, it_q3, it_mc', 6)} FROM crossed"),
         "d_level_history": sql([*TO_PANEL, level_history(KEYS, "gh")], f"SELECT peer_set, category, n_hist, {r('center, lo_w, hi_w', 6)} FROM gh"),
-        "d_detail": sql([*TO_PANEL, detail()], f"SELECT store_id, category, peer_set, peer_level, n_peer, n_sell, adjbox_basis, adjbox_value, share_adjbox, item_adjbox, CAST(coalesce(n_hist, 0) AS INT) AS n_hist, CAST(coalesce(n_hist_cell, 0) AS INT) AS n_hist_cell, CAST(n_hist_eff AS INT) AS n_hist_eff, lon_src, fova_longitude, td_fence_src, fova_trend, fova_final, {r(detail_names, 5)} FROM detail"),
+        "d_detail": sql([*TO_PANEL, detail()], f"SELECT store_id, category, peer_set, peer_level, n_peer, n_sell, adjbox_basis, adjbox_value, share_adjbox, item_adjbox, CAST(coalesce(n_hist, 0) AS INT) AS n_hist, CAST(coalesce(n_hist_cell, 0) AS INT) AS n_hist_cell, CAST(n_hist_eff AS INT) AS n_hist_eff, lon_src, level_test, td_fence_src, trend_test, history_flag, {r(detail_names, 5)} FROM detail"),
         "e_graded": sql([*TO_PANEL, detail(1.5), GRADED], "SELECT store_id, category, n_high, n_low, n_evidence, direction, level, evidence_list, auto_action FROM graded"),
         "e_level_summary": sql(
             [*loose, "lv_names AS (SELECT unnest(['normal', 'watch', 'suspicious', 'high_confidence']) AS level)", "gb AS (SELECT * FROM graded WHERE peer_level <> 'na')"],

@@ -32,7 +32,7 @@ class Clusters:
     het_alpha: float = 0.05
     forced_nearest_warn_ratio: float = 0.3
     allow_forced_nearest: bool = False
-    check_level: str = "ibd"
+    check_level: str = "cluster"
     mix_lookback: int = 1
     mix_weights: tuple = ()
     mix_common_stores: bool = False
@@ -155,7 +155,7 @@ def validated(p: Params) -> Params:
         raise ValueError(f"unknown cluster method {p.clusters.method!r}")
     if p.clusters.distance not in ("category_mix", "trend", "combined"):
         raise ValueError(f"unknown distance {p.clusters.distance!r}")
-    if p.clusters.check_level not in ("ibd", "category"):
+    if p.clusters.check_level not in ("cluster", "category"):
         raise ValueError(f"unknown check level {p.clusters.check_level!r}")
     return p
 

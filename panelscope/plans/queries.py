@@ -153,7 +153,7 @@ def d_level_history(spark, sf_dir):
 
 def d_detail(spark, sf_dir):
     d = panel(spark, sf_dir).detail(PERIOD)
-    names = ("store_id", "category", "peer_set", "peer_level", "n_peer", "n_sell", "T_final", "lv_q1", "lv_q3", "lv_mc", "lv_lo", "lv_hi", "adjbox_basis", "adjbox_shrink_w", "adjbox_value", "share_adjbox", "item_adjbox", "n_hist", "n_hist_cell", "n_hist_eff", "lon_src", "long_ll", "long_ul", "fova_longitude", "trend_d", "td_fence_src", "td_q1", "td_q3", "td_mc", "fova_trend", "fova_final")
+    names = ("store_id", "category", "peer_set", "peer_level", "n_peer", "n_sell", "T_final", "lv_q1", "lv_q3", "lv_mc", "lv_lo", "lv_hi", "adjbox_basis", "adjbox_shrink_w", "adjbox_value", "share_adjbox", "item_adjbox", "n_hist", "n_hist_cell", "n_hist_eff", "lon_src", "long_ll", "long_ul", "level_test", "trend_d", "td_fence_src", "td_q1", "td_q3", "td_mc", "trend_test", "history_flag")
     return rounded(d.select(*names), 5)
 
 

@@ -135,12 +135,12 @@ def test_links_use_common_stores(spark):
 
 
 def test_grade(spark):
-    base = dict(store_id="A", category="c", peer_level="ibd", zero_filled=False, sales_value=5.0)
+    base = dict(store_id="A", category="c", peer_level="cluster", zero_filled=False, sales_value=5.0)
     flags = [("ok", "ok", "ok", "ok"), ("high", "ok", "ok", "ok"), ("high", "high", "ok", "ok"), ("high", "high", "high", "ok"), ("high", "ok", "ok", "low"), ("na", "low", "low", "na")]
     df = spark.createDataFrame([dict(base, k=i, **dict(zip(S.EVIDENCE, f))) for i, f in enumerate(flags)] + [dict(base, k=9, sales_value=0.0, **dict(zip(S.EVIDENCE, flags[2])))])
     got = rows(detect.grade(df).orderBy("k"), "level", "direction", "auto_action", "evidence_list")
     assert [g[:3] for g in got] == [("normal", "", "skip"), ("watch", "high", "flag_only"), ("suspicious", "high", "fix"), ("high_confidence", "high", "fix"), ("suspicious", "low", "fix"), ("suspicious", "low", "fix"), ("suspicious", "high", "flag_only")]
-    assert got[4][3] == "adjbox_value:high,fova_final:low"
+    assert got[4][3] == "adjbox_value:high,history_flag:low"
 
 
 def test_store_drop(spark):
@@ -172,7 +172,7 @@ def test_merge_provinces():
 
 
 def test_adjustments(spark):
-    base = dict(period_id=1, PLATFORMNAME="p", SHOPTYPE="s", PROVINCE="x", peer_set="G", category="c", peer_level="ibd", level="suspicious", evidence_list="", lv_lo=math.log1p(50), lv_hi=math.log1p(200))
+    base = dict(period_id=1, PLATFORMNAME="p", SHOPTYPE="s", PROVINCE="x", peer_set="G", category="c", peer_level="cluster", level="suspicious", evidence_list="", lv_lo=math.log1p(50), lv_hi=math.log1p(200))
     data = [dict(base, store_id="HI", sales_value=1000.0, direction="high"), dict(base, store_id="LO", sales_value=10.0, direction="low")] + [dict(base, store_id=f"M{i}", sales_value=100.0, direction="", level="normal") for i in range(5)]
     got = {r["store_id"]: r for r in items.adjustments(spark.createDataFrame(data)).collect()}
     assert got["HI"]["adj_to_fence"] == pytest.approx(-800) and got["HI"]["adj_to_median"] == pytest.approx(-900)

@@ -258,6 +258,7 @@ graded AS (
   SELECT *, CASE WHEN peer_level = 'na' OR level = 'normal' OR direction NOT IN ('high', 'low') THEN 'skip' WHEN level IN ('suspicious', 'high_confidence') AND NOT (zero_filled OR sales_value <= 0) THEN 'fix' ELSE 'flag_only' END AS auto_action
   FROM aimed)"""
 
+LOGGED = f"lg AS (SELECT *, {LV} AS lv FROM sc WHERE period_id = {PERIOD})"
 BASE = [ITEMS, STORES, MATCHED, SC, TOTALS]
 TO_CLUSTERS = [*BASE, BANDS]
 TO_PANEL = [*TO_CLUSTERS, FILLED, CHECK, PANEL]
@@ -404,6 +405,24 @@ def oracle_sql() -> dict[str, str]:
         ),
         "r_by_dimension": by_dimension(),
         "t_threshold_grid": threshold_grid(),
+        "b_leave_one_out": sql(
+            [*BASE, LOGGED],
+            "SELECT a.store_id, a.category, count(*) + 1 AS n_peer, round(quantile_cont(b.lv, 0.25), 6) AS q1, round(quantile_cont(b.lv, 0.5), 6) AS med, round(quantile_cont(b.lv, 0.75), 6) AS q3 FROM lg a JOIN lg b ON a.PLATFORMNAME = b.PLATFORMNAME AND a.SHOPTYPE = b.SHOPTYPE AND a.category = b.category AND a.store_id <> b.store_id GROUP BY a.store_id, a.category HAVING count(*) >= 2",
+        ),
+        "b_deviation": sql(
+            [*BASE, LOGGED, "md AS (SELECT *, quantile_cont(lv, 0.5) OVER (PARTITION BY PLATFORMNAME, SHOPTYPE, category) AS median FROM lg)"],
+            "SELECT PLATFORMNAME, SHOPTYPE, category, round(median, 6) AS median, count(*) AS n, round(quantile_cont(abs(lv - median), 0.5), 6) AS mad FROM md GROUP BY PLATFORMNAME, SHOPTYPE, category, median",
+        ),
+        "b_kappa": sql(
+            [
+                *BASE,
+                LOGGED,
+                "kg AS (SELECT PLATFORMNAME, SHOPTYPE, category, PROVINCE, count(*) AS n, sum(lv) AS s, sum(lv * lv) AS q FROM lg GROUP BY ALL)",
+                "ka AS (SELECT PLATFORMNAME, SHOPTYPE, category, sum(n) AS n, count(*) AS k, sum(s) AS s, sum(q) AS q, sum(s * s / n) AS b FROM kg GROUP BY ALL)",
+                "kw AS (SELECT *, CASE WHEN k >= 2 AND n - k >= 1 THEN (b - s * s / n) / greatest(k - 1, 1) END AS msb, CASE WHEN k >= 2 AND n - k >= 1 THEN greatest(q - b, 0) / greatest(n - k, 1) END AS msw FROM ka)",
+            ],
+            "SELECT PLATFORMNAME, SHOPTYPE, category, CAST(n AS BIGINT) AS n_obs, k AS n_prov, round(greatest(least(CASE WHEN greatest((msb - msw) / (n / k), 0) > 0 THEN pi() / 2 * msw / ((msb - msw) / (n / k)) ELSE 1e5 END, 1e5), 0.25), 4) AS kappa FROM kw",
+        ),
         "f_packsize": "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN CAST(p_size % 7 AS DOUBLE) END AS qty, CAST(p_size AS DOUBLE) AS size, 'GM' AS unit, CASE WHEN p_size % 3 = 0 THEN CAST(p_size % 7 AS DOUBLE) ELSE 1.0 END * p_size AS volume FROM part",
         "f_tail_quantile": "SELECT p_size, round(v / 2 * (pow(1 - 0.995, -2 / v) - 1), 6) AS quantile FROM (SELECT DISTINCT p_size, greatest(2.0 * (p_size - 2) - 0.5, 1.0) AS v FROM part)",
     }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import clusters, detect, facts, items, seasonal
+from ..operators import clusters, detect, facts, items, seasonal, spread
 from ..sources.tables import panel_items, panel_stores
 from .params import Params
 from .pipeline import Panel
@@ -234,7 +234,30 @@ def f_tail_quantile(spark, sf_dir):
     return p.select("p_size", F.round(S.f_quantile(0.995, F.greatest(2.0 * (F.col("p_size") - 2) - 0.5, F.lit(1.0))), 6).alias("quantile"))
 
 
+def logged(spark, sf_dir):
+    return panel(spark, sf_dir).sc.filter(F.col("period_id") == PERIOD).withColumn("lv", S.log_sales(F.col("sales_value")))
+
+
+def b_leave_one_out(spark, sf_dir):
+    out = spread.leave_one_out(logged(spark, sf_dir), [*CELL, "category"], "lv", ["store_id"], {"q1": 0.25, "med": 0.5, "q3": 0.75})
+    return rounded(out.select("store_id", "category", "n_peer", "q1", "med", "q3"), 6)
+
+
+def b_deviation(spark, sf_dir):
+    return rounded(spread.deviation(logged(spark, sf_dir), [*CELL, "category"], "lv"), 6)
+
+
+def b_kappa(spark, sf_dir):
+    return rounded(spread.kappa(logged(spark, sf_dir), list(CELL), "lv"), 4)
+
+
+def a_anova(spark, sf_dir):
+    table = spread.anova(panel(spark, sf_dir).sc.filter(F.col("period_id") == PERIOD), PARAMS.eta2_strong, PARAMS.eta2_medium)
+    return rounded(spark.createDataFrame([tuple(r.values()) for r in table], "factor string, df long, ss double, partial_eta2 double, strength string, n_obs long, r2_model double"), 6)
+
+
 QUERIES = [
+    b_leave_one_out, b_deviation, b_kappa, a_anova,
     min_slice, q_quality, q_quality_clean, j_match, j_unmatched, a_store_category, a_item_totals, a_store_totals, a_profile, a_zero_fill, c_size_bands, c_band_summary, c_mix_distance, c_mix_profile_weighted,
     c_trend_distance, c_merge_provinces, c_sample_check, c_category_check, s_links, s_factors, d_cross_stats, d_level_history, d_detail, e_graded, e_level_summary, g_store_drop, g_missing_sales, i_drilldown,
     i_corrections, i_recheck, i_impact, i_funnel, r_adjustments, r_by_dimension, t_threshold_grid, t_rate_by_period, f_packsize, f_tail_quantile,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelscope.functions import robust
 from panelscope.functions import scalars as S
-from panelscope.operators import clusters, detect, facts, items, seasonal
+from panelscope.operators import clusters, detect, facts, items, seasonal, spread
 from panelscope.plans.params import Clusters, Detectors, Params, Peer, Seasonal, load
 from panelscope.sources import tables
 
@@ -179,6 +179,29 @@ def test_adjustments(spark):
     assert got["LO"]["adj_to_fence"] == pytest.approx(40) and got["LO"]["adj_to_median"] == pytest.approx(90)
 
 
+def test_anova_equals_least_squares(spark):
+    rng = np.random.default_rng(4)
+    data = [(f"p{rng.integers(2)}", f"s{rng.integers(3)}", f"x{rng.integers(4)}", f"c{rng.integers(2)}") for _ in range(400)]
+    y = [8 + 0.8 * (a == "p1") + 0.3 * (b == "s1") * (1 if a == "p0" else -1) + rng.normal(0, 0.5) for a, b, _, _ in data]
+    df = spark.createDataFrame([(*d, float(np.expm1(v))) for d, v in zip(data, y)], "PLATFORMNAME string, SHOPTYPE string, PROVINCE string, category string, sales_value double")
+    got = {r["factor"]: r for r in spread.anova(df, 0.06, 0.01)}
+
+    def rss(factors, pair=False):
+        x = [np.ones(len(data))] + [np.array([d[f] == n for d in data], float) for f in factors for n in sorted({d[f] for d in data})[1:]]
+        if pair:
+            x += [np.array([d[:2] == n for d in data], float) for n in sorted({d[:2] for d in data})[1:]]
+        x = np.column_stack(x)
+        return float(((np.array(y) - x @ np.linalg.lstsq(x, np.array(y), rcond=None)[0]) ** 2).sum())
+
+    full = rss([0, 1, 2, 3])
+    for i, f in enumerate(spread.FACTORS):
+        ss = rss([j for j in range(4) if j != i]) - full
+        assert got[f]["ss"] == pytest.approx(ss, abs=1e-6) and got[f]["partial_eta2"] == pytest.approx(ss / (ss + full), abs=1e-9)
+    both = rss([0, 1, 2, 3], True)
+    assert got["PLATFORMNAME:SHOPTYPE"]["ss"] == pytest.approx(full - both, abs=1e-6) and got["Residual"]["df"] == 400 - 1 - 1 - 2 - 3 - 1
+    assert got["PLATFORMNAME"]["strength"] == "strong" and "PLATFORMNAME" in spread.suggest_cell(list(got.values()), ("SHOPTYPE",))
+
+
 def test_params(tmp_path):
     f = tmp_path / "p.json"
     f.write_text('{"clusters": {"min_store": 30}, "grid_adjbox_c": [2.0]}')

@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over SPAN tokens that looks at WEIGHT of them; the others may differ. Every position of the
-benchmark texts is hashed under every mask, the hashes of the training texts are joined with them, and
+A seed is a fixed mask that looks at some of the tokens under it; the others may differ. The masks follow from an item's
+length, so that whatever tokens a stretch may differ in, some mask steps over all of them. Every position of the
+benchmark texts is hashed under every mask of its item, the hashes of the training texts are joined with them, and
 around each hit the two texts are aligned on the hit's diagonal: contaminated is a document in which some stretch
 of OVERLAP tokens (of the whole item, if it is shorter) agrees in at least IDENTITY of its tokens.
 
@@ -9,8 +10,8 @@ The benchmark is the stated query set. Its hash table is cut into blocks of at m
 of bounded size, and every block is held against all documents; the number of blocks grows with the benchmark, and no
 block with the documents. Tokens are lower-cased runs of letters and digits.
 
-Null and empty texts match nothing, items under MIN_ITEM tokens are not searched for, repeated rows give repeated
-results, and a document's hits are one row per item, with its best stretch (the first of equals).
+Null and empty texts match nothing, items under MIN_ITEM tokens are not searched for, rows are judged one by one (also
+those that share a doc_id or have none), repeated rows give repeated results, and a document's hits are one row per item, with its best stretch (the first of equals).
 """
 
 from __future__ import annotations
@@ -24,8 +25,11 @@ from pyspark.sql import functions as F
 
 from .common import Rows, Scratch, clear
 
-# Fixed masks of weight 6 over 9 tokens; for any one substituted token in 11 some mask steps over it.
-MASKS = ("110110011", "111010110", "101101101", "111111000")
+# Stretches of 13 tokens and more: for any two substituted tokens in 13 some mask steps over both.
+MASKS = ("110110011", "111010110", "101101101", "111111000", "1111111")
+# The same for any two in 10 to 12, and for any one in 8 or 9.
+MIDDLE, SHORT = ("111011", "11010011", "11111"), ("111111", "11001111", "11110011")
+ALL_MASKS = (*MASKS, *MIDDLE, *SHORT)
 OVERLAP, IDENTITY, MIN_ITEM = 13, 0.8, 8
 #: Tokens of one block of the benchmark: bounds what is sent to the executors (about 100 bytes a token).
 BLOCK_TOKENS = 250_000
@@ -42,6 +46,12 @@ def tokens(text: str | None) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(t) for t in found), np.uint64, len(found))
 
 
+def masks_of(length: int) -> range:
+    """Places in ALL_MASKS of the masks for an item of so many tokens."""
+    a, b = len(MASKS), len(MASKS) + len(MIDDLE)
+    return range(a) if length >= OVERLAP else range(a, b) if length >= 10 else range(b, len(ALL_MASKS))
+
+
 def seeds(t: np.ndarray, mask: str, salt: int) -> np.ndarray:
     """Hash under the mask at every position; masks may reach beyond the end by nothing."""
     n = len(t) - len(mask) + 1
@@ -57,12 +67,13 @@ def seeds(t: np.ndarray, mask: str, salt: int) -> np.ndarray:
 class Block:
     """A bounded block of the benchmark: sorted seed hashes with their places, and a bitmap that rejects most others."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], masks: tuple[str, ...]):
-        self.items, self.masks = items, masks
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.items = items
+        self.masks = sorted({k for _, t in items for k in masks_of(len(t))})
         h, item, at = [], [], []
         for i, (_, t) in enumerate(items):
-            for k, m in enumerate(masks):
-                s = seeds(t, m, k)
+            for k in masks_of(len(t)):
+                s = seeds(t, ALL_MASKS[k], k)
                 h.append(s)
                 item.append(np.full(len(s), i, np.int32))
                 at.append(np.arange(len(s), dtype=np.int32))
@@ -80,8 +91,8 @@ class Block:
     def hits(self, t: np.ndarray) -> set[tuple[int, int]]:
         """(item's index, diagonal) of the seeds that the tokens share with the block."""
         out: set[tuple[int, int]] = set()
-        for k, m in enumerate(self.masks):
-            s = seeds(t, m, k)
+        for k in self.masks:
+            s = seeds(t, ALL_MASKS[k], k)
             where = np.flatnonzero(self.bitmap[self.slot(s)]) if len(s) else s
             if not len(where):
                 continue
@@ -113,26 +124,33 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_TOKENS, minimum: int = MIN_I
     held, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").toLocalIterator():
         t = tokens(r["text"])
-        if len(t) < max(minimum, min(map(len, MASKS))):
+        if len(t) < minimum:
             continue
         # an item longer than a block is searched for in parts that overlap by a stretch
         for a in range(0, max(1, len(t) - OVERLAP), limit):
             part = t[a : a + limit + OVERLAP]
             if size + len(part) > limit + OVERLAP and held:
-                yield Block(held, MASKS)
+                yield Block(held)
                 held, size = [], 0
             held.append((r["item_id"], part))
             size += len(part)
     if held:
-        yield Block(held, MASKS)
+        yield Block(held)
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, identity: float = IDENTITY) -> DataFrame:
+def find_contamination(documents: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, identity: float = IDENTITY, limit: int = BLOCK_TOKENS) -> DataFrame:
     """A row per contaminated document and item: doc_id, item_id, first_token, n_tokens, share, n_agree."""
+    return found_texts(documents, benchmark, overlap, identity, limit).drop("text_hash")
+
+
+def found_texts(documents: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, identity: float = IDENTITY, limit: int = BLOCK_TOKENS) -> DataFrame:
+    """The same with text_hash, the text's XXH64: rows that share a doc_id or have none are told apart by it."""
+    import xxhash
+
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_token", pa.int32()), ("n_tokens", pa.int32()), ("share", pa.float64()), ("n_agree", pa.int32())])
-    ddl = "doc_id long, item_id long, first_token int, n_tokens int, share double, n_agree int"
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("first_token", pa.int32()), ("n_tokens", pa.int32()), ("share", pa.float64()), ("n_agree", pa.int32())])
+    ddl = "doc_id long, text_hash long, item_id long, first_token int, n_tokens int, share double, n_agree int"
 
     def search(block):
         shared = spark.sparkContext.broadcast(block)
@@ -141,9 +159,12 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, overlap: int
             rows = Rows(schema)
             for b in batches:
                 for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    t = tokens(text.as_py())
-                    for found in shared.value.verified(t, overlap, identity):
-                        rows.add(doc_id, *found)
+                    text = text.as_py()
+                    found = shared.value.verified(tokens(text), overlap, identity)
+                    # as F.xxhash64 gives it
+                    h = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass"), 42) if found else 0
+                    for x in found:
+                        rows.add(doc_id, h - (1 << 64) if h >> 63 else h, *x)
                     if rows.full():
                         yield rows.batch()
             yield rows.batch()
@@ -151,18 +172,22 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, overlap: int
         return docs.mapInArrow(run, ddl)
 
     scratch, found, waiting = Scratch(spark, "decontam"), [], None
-    for i, block in enumerate(blocks(benchmark)):
+    for i, block in enumerate(blocks(benchmark, limit)):
         # a single block needs no table; of more, each is searched for and written before the next is built
         if waiting is not None:
             found.append(scratch.write(waiting, f"block-{i}"))
         waiting = search(block)
     if waiting is None:
         return spark.createDataFrame([], ddl)
-    out = waiting
-    for df in found:
-        out = out.unionByName(df)
-    # an item that spans two blocks keeps its best stretch
-    return out if not found else out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("first_token", "n_tokens", "share", "n_agree"), F.struct("share", -F.col("first_token"))).alias("m")).select("doc_id", "item_id", "m.*")
+    if not found:
+        return waiting
+    out = waiting.withColumn("block", F.lit(len(found)))
+    for k, df in enumerate(found):
+        out = out.unionByName(df.withColumn("block", F.lit(k)))
+    # an item that spans two blocks keeps its best stretch; equal rows are found equally often in each of its blocks
+    best = F.max_by(F.struct("first_token", "n_tokens", "share", "n_agree"), F.struct("share", -F.col("first_token"))).alias("m")
+    merged = out.groupBy("doc_id", "text_hash", "item_id").agg(best, (F.count("*") / F.count_distinct("block")).cast("int").alias("copies"))
+    return merged.select("doc_id", "text_hash", "item_id", F.explode(F.expr("array_repeat(m, copies)")).alias("m")).select("doc_id", "text_hash", "item_id", "m.*")
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

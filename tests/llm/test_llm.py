@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -138,6 +139,30 @@ def test_one_substitution_is_stepped_over():
             assert any(all(m[k] == "0" or a + k != j for k in range(len(m))) for m in decontam.MASKS for a in range(n - len(m) + 1))
 
 
+@pytest.mark.parametrize("n", range(decontam.MIN_ITEM, decontam.OVERLAP + 1))
+def test_allowed_substitutions_are_stepped_over(n):
+    t = np.arange(1, n + 1, dtype=np.uint64)
+    block = decontam.Block([(7, t)])
+    allowed = n - int(np.ceil(decontam.IDENTITY * n - 1e-9))
+    for gone in itertools.combinations(range(n), allowed):
+        other = t.copy()
+        other[list(gone)] += np.uint64(1000)
+        assert block.verified(other, decontam.OVERLAP, decontam.IDENTITY), gone
+
+
+def test_blocks_keep_rows_apart(spark):
+    rng = np.random.default_rng(3)
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 30)) for _ in range(4)]
+    # two texts of one doc_id with the same item, two equal rows, a row without doc_id, an item of eight tokens
+    rows = [(1, "a " + items[0]), (1, "b c " + items[0]), (2, items[1]), (2, items[1]), (None, items[2]), (3, "x one two three four five six seven eight y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([*enumerate(items), (9, "one two three four five six seven eight")], "item_id long, text string")
+    want = [(1, 0, 1), (1, 0, 2), (2, 1, 0), (2, 1, 0), (None, 2, 0), (3, 9, 1)]
+    for limit in (decontam.BLOCK_TOKENS, 20):
+        got = [(r["doc_id"], r["item_id"], r["first_token"]) for r in decontam.find_contamination(df, bench, limit=limit).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), limit
+
+
 # ------------------------------------------------------------------ 4
 def plain_repeats(texts, length=20):
     seen, out = set(), {}

@@ -10,11 +10,12 @@ how a prefix's mass falls to longer prefixes and words, and the last level, come
 together, so that expressions too rare to count in either class get nearly equal odds in both, and inflected forms meet
 at their stems. The order of two words is left to the shared part, which cancels in the comparison.
 
-Counts are taken over all labelled rows of the fold crc32(doc_id) mod 3 = 0, by a distributed aggregate, into tables of fixed
-size (events are hashed to slots), so that the model that is sent to the executors is bounded whatever the corpus. A text
-gives its length-normalised log-likelihood ratio, the same over its most suspicious stretches, and its
-length; a logistic curve over these is fitted on a bounded sample of the labelled rows with remainder 2
-(CALIBRATION rows, the first by hash of doc_id). Rows with remainder 1 are held out of both.
+Counts are taken over all labelled rows of the folds crc32(doc_id) mod 3 = 0 and 2, by distributed aggregates, into
+tables keyed by 64-bit hashes of the words and prefixes, which grow with the corpus. Of these the KNOWN most frequent
+words go to the executors; whatever else a document holds is joined with the tables, by distinct words, so that the
+bound decides where a word is looked up and never what is found. The same holds for the prefixes, which stand in for unseen words. A text gives its length-normalised
+log-likelihood ratio, the same over its most suspicious stretches, and its length; a logistic curve over these is fitted on
+all labelled rows of both folds, each scored by the counts of the other fold. Rows with remainder 1 are held out.
 
 Null and empty texts are scored as texts without words. Only text enters a score. Of repeated labels of one doc_id
 the larger counts. Without labelled rows of both classes every score is 0.5.
@@ -23,19 +24,18 @@ the larger counts. Without labelled rows of both classes every score is 0.5.
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, clear
+from .common import Rows, Scratch, clear
 
-#: Slots of the tables, as powers of two: four letters, six letters, word.
-BITS = (16, 18, 18)
-#: Most labelled rows that the logistic curve is fitted on.
-CALIBRATION = 20_000
+#: Words, and prefixes of each length, whose ratios are sent to the executors, at most; the others are joined.
+KNOWN = 1 << 20
+#: Passes over the labelled rows, each counting the words of one remainder of their hashes: bounds the shuffle files held at once.
+PASSES = 2
 #: Taken from every count of a class and given to what the classes share.
 DISCOUNT = 2.0
 STRETCHES = (1, 4, 16)
@@ -45,172 +45,329 @@ FEATURES = 3 + len(STRETCHES)
 _word = re.compile(r"[^\W\d_]+")
 
 
-def events(text: str | None) -> list[np.ndarray]:
-    """Of every word: slots of its two prefixes, 32 bits of the word, and the slot of the word before."""
-    crc = zlib.crc32
-    w = [x.encode() for x in _word.findall((text or "").lower())]
-    word = np.fromiter(map(crc, w), np.uint64, len(w))
+#: Models by the folds they are counted from: remainder 0, remainder 2, both; a row of bits per model.
+MODELS = (1, 2, 3)
+BOTH = 2
+COUNTS = [f"n{m}{c}" for m in range(len(MODELS)) for c in (0, 1)]
+
+
+def split(text: str | None) -> list[bytes]:
+    return [x.encode("utf-8", "surrogatepass") for x in _word.findall((text or "").lower())]
+
+
+def hashed(parts, n: int) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, n)
+
+
+def prefixes(w: list[bytes]) -> list[np.ndarray]:
     # letters beyond ASCII take two bytes or more; prefixes are of the encoded word
-    four = np.fromiter((crc(x[:4]) for x in w), np.uint64, len(w))
-    six = np.fromiter((crc(x[:6]) for x in w), np.uint64, len(w))
-    before = np.concatenate([np.zeros(1, np.uint64), word[:-1]]) if len(w) else word
-    return [(x & np.uint64((1 << b) - 1)).astype(np.int64) for x, b in ((four, BITS[0]), (six, BITS[1]), (word, 32), (before, BITS[2]))]
+    return [hashed((x[:k] for x in w), len(w)) for k in (6, 4)]
 
 
-def count_events(labelled: DataFrame) -> DataFrame:
-    """(kind, slot, n) from rows of text and toxic.
+def count_events(labelled: DataFrame, passes: int = 1, one: int = 0) -> DataFrame:
+    """Per word its hash, those of its prefixes, and its continuation counts by model and class, from rows of text, toxic and fold (a bit).
 
-    A kind is class * 3 + level, n its continuation count: distinct pairs of words that end in the word or prefix. A
-    pair is the slot of the word before, 32 bits of the word, its prefixes' slots and the class.
+    A continuation count is a number of distinct words before, over all rows of the model's folds. Of several passes
+    each gives the words of one remainder of their hashes.
     """
-    schema = pa.schema([("pair", pa.int64()), ("parts", pa.int64())])
+    schema = pa.schema([("word", pa.int64()), ("other", pa.int64()), ("kind", pa.int32()), ("fold", pa.int32())])
 
+    # kinds: 0 and 1 a pair with the word before, by class; 2 and 3 the word's prefixes
     def pairs(batches):
-        held, size = [], 0
+        held, size, new, told = [], 0, set(), set()
 
         def out():
-            a = np.concatenate(held, axis=1)
-            a = a[:, np.lexsort((a[1], a[0]))]
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(a, axis=1) != 0).any(0)]))
-            return pa.RecordBatch.from_arrays([pa.array(a[0][first]), pa.array(a[1][first])], schema=schema)
+            word, other, tag = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first = np.unique(other ^ (tag.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
+            # a word's prefixes are told once, or again when the task has forgotten
+            w = list(new)
+            if len(told) > 300_000:
+                told.clear()
+            told.update(w)
+            new.clear()
+            whole, (six, four) = hashed(w, len(w)), prefixes(w)
+            fixed = lambda k: np.full(len(w), k, np.int32)
+            cols = [
+                np.concatenate([word[first], whole, whole]).view(np.int64),
+                np.concatenate([other[first], six, four]).view(np.int64),
+                np.concatenate([tag[first] & 1, fixed(2), fixed(3)]).astype(np.int32),
+                np.concatenate([tag[first] >> 1, fixed(0), fixed(0)]).astype(np.int32),
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], schema=schema)
 
         for b in batches:
-            for text, toxic in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                four, six, word, before = events(text.as_py())
-                if len(word):
-                    held.append(np.stack([(before << 32) | word, (((four << BITS[1]) | six) << 1) | int(toxic)]))
-                    size += len(word)
-                if size > 300_000:
+            for text, toxic, fold in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                w = split(text.as_py())
+                if w:
+                    word = hashed(w, len(w))
+                    before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])
+                    mixed = (before ^ (before >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + word
+                    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+                    mine = np.flatnonzero(word % np.uint64(passes) == one)
+                    held.append((word[mine], mixed[mine], np.full(len(mine), int(toxic) | fold << 1, np.int32)))
+                    new.update(w[k] for k in mine if w[k] not in told)
+                    size += len(mine)
+                if size > 1_000_000:
                     yield out()
                     held, size = [], 0
         if size:
             yield out()
 
-    pair = labelled.mapInArrow(pairs, "pair long, parts long").distinct()
-    toxic = F.col("parts").bitwiseAND(1).cast("int")
-    level = [
-        F.shiftright("parts", 1 + BITS[1]).cast("int"),
-        F.shiftright("parts", 1).bitwiseAND((1 << BITS[1]) - 1).cast("int"),
-        F.col("pair").bitwiseAND((1 << BITS[2]) - 1).cast("int"),
+    pair = labelled.mapInArrow(pairs, "word long, other long, kind int, fold int")
+    pair = pair.groupBy("word", "other", "kind").agg(F.bit_or("fold").alias("fold"))
+    n = [F.count(F.when((F.col("kind") == c) & (F.col("fold").bitwiseAND(bits) != 0), 1)).alias(f"n{m}{c}") for m, bits in enumerate(MODELS) for c in (0, 1)]
+    part = [F.max(F.when(F.col("kind") == k, F.col("other"))).alias(x) for k, x in ((2, "six"), (3, "four"))]
+    return pair.groupBy("word").agg(*part, *n)
+
+
+def ratios(counts: DataFrame, scratch: Scratch) -> tuple[list[DataFrame], list[float]]:
+    """Tables key, n, r (log P_toxic - log P_ordinary by model) of words, of words unseen by their six and by their four letters; r of all others."""
+    sums = [F.sum(x).alias(x) for x in COUNTS]
+    word = counts
+    six = scratch.write(word.groupBy("six").agg(F.max("four").alias("four"), *sums), "sixes")
+    four = scratch.write(six.groupBy("four").agg(*sums), "fours")
+    levels = [
+        df.agg(F.count("*").alias("rows"), *[F.coalesce(F.sum(x), F.lit(0)).cast("double").alias(x) for x in COUNTS], *[F.coalesce(F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))), F.lit(0.0)).alias(f"d{x}") for x in COUNTS]).first()
+        for df in (four, six, word)
     ]
-    rows = pair.select(F.explode(F.array(*[F.struct((toxic * 3 + i).alias("kind"), level[i].alias("slot")) for i in range(3)])).alias("e")).select("e.*")
-    return rows.groupBy("kind", "slot").agg(F.count("*").alias("n"))
-
-
-class Model:
-    """Log-probabilities of both classes from the tables."""
-
-    def __init__(self, counts: pa.Table):
-        tables = [np.zeros(1 << b) for b in (*BITS, *BITS)]
-        kind, slot, n = (counts.column(x).to_numpy() for x in ("kind", "slot", "n"))
-        for k, t in enumerate(tables):
-            t[slot[kind == k]] = n[kind == k]
-        total = [max(tables[0].sum(), 1.0), max(tables[3].sum(), 1.0)]
-        pooled = [tables[i] + tables[3 + i] + 0.5 for i in range(3)]
-        self.base = (pooled[0] / pooled[0].sum()).astype(np.float32)
-        # continuation counts of both classes split a prefix's mass
-        self.pooled = [x.astype(np.float32) for x in pooled]
-        kept = lambda t, n: (np.maximum(t - DISCOUNT, 0) / n).astype(np.float32)
-        self.kept = [[kept(tables[3 * c + i], total[c]) for i in range(3)] for c in (0, 1)]
-        self.freed = [[float(np.minimum(tables[3 * c + i], DISCOUNT).sum() / total[c]) or 1.0 for i in range(3)] for c in (0, 1)]
-        self.curve, self.bias = np.zeros(FEATURES), 0.0
-        self.centre, self.scale = np.zeros(FEATURES), np.ones(FEATURES)
-
-    def ratio(self, text: str | None) -> np.ndarray:
-        """log P_toxic - log P_ordinary of every word."""
-        four, six, word, _ = events(text)
-        if not len(word):
-            return np.zeros(0)
-        word &= (1 << BITS[2]) - 1
-        s4, s6, sw = self.pooled[0][four], self.pooled[1][six], self.pooled[2][word]
-        # slots shared by chance can make a part larger than its whole
-        to6, tow = np.minimum(s6 / s4, 1.0), np.minimum(sw / s6, 1.0)
-        found = []
-        for c in (0, 1):
-            p = self.kept[c][0][four] + self.freed[c][0] * self.base[four]
-            p = self.kept[c][1][six] + self.freed[c][1] * p * to6
-            p = self.kept[c][2][word] + self.freed[c][2] * p * tow
-            found.append(p)
-        return np.log(np.maximum(found[1], 1e-30)) - np.log(np.maximum(found[0], 1e-30))
-
-    def features(self, text: str | None) -> np.ndarray:
-        r = self.ratio(text)
-        if not len(r):
-            return np.zeros(FEATURES)
-        sums = np.concatenate([[0.0], np.cumsum(r)])
-        # the highest mean over a stretch of so many words
-        tops = [float((sums[k:] - sums[:-k]).max() / k) if len(r) > k else float(r.sum() / k) for k in STRETCHES]
-        # how many words alone speak clearly for the class, per square root of the length
-        strong = float((r > 3.0).sum() / np.sqrt(len(r)))
-        return np.array([float(r.mean()), *tops, strong, float(np.log1p(len(r)))])
-
-    def score(self, features: np.ndarray) -> np.ndarray:
-        z = (features - self.centre) / self.scale @ self.curve + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic curve by Newton's method with a light ridge."""
-        if not (0 < y.sum() < len(y)):
-            return
-        self.centre, self.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-        z = np.column_stack([(x - self.centre) / self.scale, np.ones(len(x))])
-        w = np.zeros(z.shape[1])
-        for _ in range(60):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-            g = z.T @ (p - y) + 0.5 * w
-            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 0.5 * np.eye(len(w)), g)
-            w -= np.clip(step, -5, 5)
-            if np.abs(step).max() < 1e-8:
+    total = {x: max(levels[0][x], 1.0) for x in COUNTS}
+    freed = [{x: (level[f"d{x}"] / total[x]) or 1.0 for x in COUNTS} for level in levels]
+    each = [(m, c, f"n{m}{c}") for m in range(len(MODELS)) for c in (0, 1)]
+    pooled = lambda m: F.col(f"n{m}0") + F.col(f"n{m}1") + 0.5
+    kept = lambda x: F.greatest(F.col(x) - DISCOUNT, F.lit(0.0)) / total[x]
+
+    def log_ratio(p, factor):
+        one = lambda m, c: F.log(F.greatest(p(m, c) * factor(f"n{m}{c}"), F.lit(1e-30)))
+        return F.array(*[one(m, 1) - one(m, 0) for m in range(len(MODELS))]).alias("r")
+
+    def level(df, key, above, i):
+        """Probabilities p{m}{c} and pooled counts s{m} of a level from those of the one above it."""
+        if above is None:
+            everything = [levels[0][f"n{m}0"] + levels[0][f"n{m}1"] + 0.5 * levels[0]["rows"] or 1.0 for m in range(len(MODELS))]
+            share = lambda m, c: pooled(m) / everything[m]
+        else:
+            df = df.join(above, key)
+            share = lambda m, c: F.col(f"above_p{m}{c}") * F.least(pooled(m) / F.col(f"above_s{m}"), F.lit(1.0))
+        return df.select("*", *[(kept(x) + freed[i][x] * share(m, c)).alias(f"p{m}{c}") for m, c, x in each], *[pooled(m).alias(f"s{m}") for m in range(len(MODELS))])
+
+    def handed(df, key):
+        return df.select(key, *[F.col(f"p{m}{c}").alias(f"above_p{m}{c}") for m, c, _ in each], *[F.col(f"s{m}").alias(f"above_s{m}") for m in range(len(MODELS))])
+
+    p = lambda m, c: F.col(f"p{m}{c}")
+    n = (F.col("n20") + F.col("n21")).alias("n")
+    four = level(four, None, None, 0)
+    six = level(six, "four", handed(four, "four"), 1)
+    word = level(word, "six", handed(six, "six"), 2)
+    # an unseen word or prefix has the same share of what is passed down in both classes
+    tables = [
+        word.select(F.col("word").alias("key"), n, log_ratio(p, lambda x: 1.0)),
+        six.select(F.col("six").alias("key"), n, log_ratio(p, lambda x: freed[2][x])),
+        four.select(F.col("four").alias("key"), n, log_ratio(p, lambda x: freed[2][x] * freed[1][x])),
+    ]
+    rest = [float(np.prod([f[f"n{m}1"] / f[f"n{m}0"] for f in freed])) for m in range(len(MODELS))]
+    return [scratch.write(t, f"ratios-{k}") for k, t in enumerate(tables)], [float(np.log(x)) for x in rest]
+
+
+def most_frequent(table: DataFrame, limit: int) -> tuple[pa.Table, bool]:
+    """key, r of the highest counts, at most so many; whether these are all."""
+    step = F.floor(8 * F.log2(F.col("n") + 1)).cast("int")
+    sizes = {r["step"]: r["count"] for r in table.groupBy(step.alias("step")).count().collect()}
+    least, held = 1 << 30, 0
+    for k in sorted(sizes, reverse=True):
+        held += sizes[k]
+        if held > limit:
+            break
+        least = k
+    return table.filter(step >= least).select("key", "r").toArrow(), held <= limit
+
+
+class Level:
+    """Ratios of the most frequent words, or prefixes of a length, sorted by their hashes."""
+
+    def __init__(self, table: pa.Table, complete: bool):
+        key = table.column("key").to_numpy().view(np.uint64)
+        r = table.column("r").combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(key), len(MODELS))
+        order = np.argsort(key)
+        self.key, self.r, self.complete = key[order], r[order], complete
+
+    def look(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ratios by word and model, and which words are known."""
+        if not len(self.key):
+            return np.zeros((len(key), len(MODELS)), np.float32), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return self.r[at], self.key[at] == key
+
+
+class Known:
+    """What the executors hold of words, six letters and four letters; of a level that is complete, what it lacks is unseen."""
+
+    def __init__(self, levels: list[Level], rest: list[float]):
+        self.levels, self.rest = levels, np.array(rest, np.float32)
+
+    def look(self, w: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ratios by word and model, and the places of words that only the tables can tell."""
+        r, found = self.levels[0].look(hashed(w, len(w)))
+        todo = np.flatnonzero(~found)
+        for level, letters in zip(self.levels, (6, 4, None), strict=True):
+            if not len(todo) or not level.complete:
+                return r, todo
+            if letters is None:
                 break
-        self.curve, self.bias = w[:-1], float(w[-1])
-
-
-def remainder(doc_id) -> F.Column:
-    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3))
-
+            found_r, found = self.levels[1 if letters == 6 else 2].look(hashed((w[k][:letters] for k in todo), len(todo)))
+            r[todo[found]] = found_r[found]
+            todo = todo[~found]
+        r[todo] = self.rest
+        return r, todo[:0]
+
+
+def features(r: np.ndarray) -> np.ndarray:
+    """Of the ratios of a text's words, in their order."""
+    if not len(r):
+        return np.zeros(FEATURES)
+    r = r.astype(float)
+    sums = np.concatenate([[0.0], np.cumsum(r)])
+    # the highest mean over a stretch of so many words
+    tops = [float((sums[k:] - sums[:-k]).max() / k) if len(r) > k else float(r.sum() / k) for k in STRETCHES]
+    # how many words alone speak clearly for the class, per square root of the length
+    strong = float((r > 3.0).sum() / np.sqrt(len(r)))
+    return np.array([float(r.mean()), *tops, strong, float(np.log1p(len(r)))])
+
+
+def used(fold: int) -> list[int]:
+    """Models of a row: of both folds and, in these, of the other fold."""
+    return [BOTH] if fold == 1 else [BOTH, 1 if fold == 0 else 0]
+
+
+def both_features(r: np.ndarray) -> list[list[float] | None]:
+    found = [features(r[:, m]).tolist() for m in range(r.shape[1])]
+    return [found[0], found[1] if len(found) > 1 else None]
+
+
+def features_of(documents: DataFrame, tables: list[DataFrame], rest: list[float], scratch: Scratch, known: int) -> DataFrame:
+    """doc_id, fold, x, y of every row: features by the counts of both folds and by those of the other fold (null where held out)."""
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(Known([Level(*most_frequent(t, known)) for t in tables], rest))
+    missing = pa.list_(pa.struct([("word", pa.int64()), ("six", pa.int64()), ("four", pa.int64())]))
+    vector = pa.list_(pa.float64())
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("fold", pa.int32()), ("x", vector), ("y", vector), ("r", pa.binary()), ("at", pa.binary()), ("missing", missing)])
+
+    def first(batches):
+        rows = Rows(schema, 5_000)
+        for b in batches:
+            for row, doc_id, fold, text in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3), strict=True):
+                w = split(text.as_py())
+                r, places = shared.value.look(w)
+                r = r[:, used(fold)]
+                if not len(places):
+                    rows.add(row, doc_id, fold, *both_features(r), None, None, None)
+                else:
+                    one = {}
+                    at = np.full(len(w), -1, np.int32)
+                    at[places] = [one.setdefault(w[k], len(one)) for k in places]
+                    parts = [x.view(np.int64).tolist() for x in (hashed(one, len(one)), *prefixes(list(one)))]
+                    named = [{"word": a, "six": b, "four": c} for a, b, c in zip(*parts, strict=True)]
+                    rows.add(row, doc_id, fold, None, None, r.tobytes(), at.tobytes(), named)
+                if rows.full():
+                    yield rows.batch()
+        yield rows.batch()
+
+    docs = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), remainder(F.col("doc_id")).cast("int").alias("fold"), "text")
+    found = scratch.write(docs.mapInArrow(first, "row long, doc_id long, fold int, x array<double>, y array<double>, r binary, at binary, missing array<struct<word:bigint,six:bigint,four:bigint>>"), "first")
+    open_rows = found.filter("missing is not null")
+    if open_rows.isEmpty():
+        return found
+    missed = open_rows.select("row", F.posexplode("missing").alias("j", "m")).select("row", "j", "m.*")
+    asked = missed.select("word", "six", "four").distinct()
+    for k, name in enumerate(("word", "six", "four")):
+        asked = asked.join(tables[k].select(F.col("key").alias(name), F.col("r").alias(f"r{k}")), name, "left")
+    asked = scratch.write(asked.select("word", F.coalesce("r0", "r1", "r2", F.array(*map(F.lit, rest))).alias("r")), "asked")
+    answers = missed.join(asked, "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("j", "r"))).alias("answers"))
+
+    def second(batches):
+        rows = Rows(pa.schema([schema.field(k) for k in range(1, 5)]), 5_000)
+        for b in batches:
+            for doc_id, fold, r, at, answers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                at = np.frombuffer(at, np.int32)
+                r = np.frombuffer(r, np.float32).reshape(len(at), -1).copy()
+                r[at >= 0] = np.array([a["r"] for a in answers], np.float32)[at[at >= 0]][:, used(fold)]
+                rows.add(doc_id, fold, *both_features(r))
+                if rows.full():
+                    yield rows.batch()
+        yield rows.batch()
 
-def train(documents: DataFrame, labels: DataFrame, scratch: Scratch) -> Model:
-    label = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    label = label.withColumn("fold", remainder(F.col("_id"))).filter("fold != 1")
-    label = scratch.write(label, "labels")
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), remainder(F.col("doc_id")).alias("of"))
-    known = docs.filter("of = 0").join(label.filter("fold = 0"), F.col("doc_id") == F.col("_id"))
-    counts = scratch.write(count_events(known.select("text", "toxic")), "counts")
-    model = Model(counts.toArrow())
-    # CALIBRATION bounds the side that is broadcast
-    sample = label.filter("fold = 2").orderBy(F.xxhash64("_id"), "_id").limit(CALIBRATION)
-    chosen = docs.filter("of = 2").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "toxic")
-    x = features_of(chosen, model).toArrow()
-    if x.num_rows:
-        model.calibrate(np.array(x.column("x").to_pylist()).reshape(-1, FEATURES), np.array(x.column("toxic").to_pylist(), float))
-    scratch.release()
-    return model
+    closed = open_rows.join(answers, "row").select("doc_id", "fold", "r", "at", "answers").mapInArrow(second, "doc_id long, fold int, x array<double>, y array<double>")
+    return scratch.write(found.filter("missing is null").select("doc_id", "fold", "x", "y").unionByName(closed), "features")
 
 
-def features_of(rows: DataFrame, model: Model) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def added(rows: DataFrame, of) -> np.ndarray | None:
+    """Sum over all rows (y, toxic) of what `of` makes of a batch."""
 
     def run(batches):
+        total = None
         for b in batches:
-            x = [shared.value.features(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
+            if b.num_rows:
+                x = np.array(b.column(0).to_pylist(), float).reshape(-1, FEATURES)
+                part = of(x, np.array(b.column(1).to_pylist(), float))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    parts = [r["s"] for r in rows.mapInArrow(run, "s array<double>").collect()]
+    return np.sum(parts, axis=0) if parts else None
+
+
+def calibrate(rows: DataFrame) -> tuple[np.ndarray, float]:
+    """Weights and offset of a logistic curve by Newton's method with a light ridge, over all rows (y, toxic)."""
+    none = np.zeros(FEATURES), 0.0
+    s = added(rows, lambda x, y: np.concatenate([[len(y), y.sum()], x.sum(0), (x * x).sum(0)]))
+    if s is None or not 0 < s[1] < s[0]:
+        return none
+    centre = s[2 : 2 + FEATURES] / s[0]
+    scale = np.maximum(np.sqrt(np.maximum(s[2 + FEATURES :] / s[0] - centre**2, 0)), 1e-6)
+    size = FEATURES + 1
+    w = np.zeros(size)
+    for _ in range(60):
+
+        def slope(x, y, w=w):
+            z = np.column_stack([(x - centre) / scale, np.ones(len(x))])
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
+            return np.concatenate([z.T @ (p - y), ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
 
-    return rows.mapInArrow(run, "toxic int, x array<double>")
+        s = added(rows, slope)
+        step = np.linalg.solve(s[size:].reshape(size, size) + 0.5 * np.eye(size), s[:size] + 0.5 * w)
+        w = w - np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w[:-1] / scale, float(w[-1] - (w[:-1] * centre / scale).sum())
+
+
+def remainder(doc_id) -> F.Column:
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3))
 
 
-def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def score_documents(documents: DataFrame, labels: DataFrame, known: int = KNOWN) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     scratch = Scratch(documents.sparkSession, "toxicity")
     documents = clear(documents, "_id", "toxic", "fold", "of")
-    shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels, scratch))
-
-    def run(batches):
-        for b in batches:
-            x = np.array([shared.value.features(t.as_py()) for t in b.column(1)]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.score(x))], names=["doc_id", "score"])
-
-    scored = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"))
+    label = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    label = scratch.write(label.withColumn("of", remainder(F.col("_id"))).filter("of != 1"), "labels")
+    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), remainder(F.col("doc_id")).alias("fold")).filter("fold != 1")
+    learnt = docs.join(label, F.col("doc_id") == F.col("_id")).select("text", "toxic", F.when(F.col("fold") == 0, 1).otherwise(2).alias("fold"))
+    counts = None
+    for k in range(PASSES):
+        part = scratch.write(count_events(learnt, PASSES, k), f"counts-{k}")
+        counts = part if counts is None else counts.unionByName(part)
+        scratch.release()
+    found = features_of(documents, *ratios(counts, scratch), scratch, known)
+    scratch.release()
+    weights, offset = calibrate(scratch.write(found.filter("fold != 1").join(label, F.col("doc_id") == F.col("_id")).select("y", "toxic"), "calibration"))
+    z = F.lit(offset)
+    for k, a in enumerate(weights.tolist()):
+        z = z + F.lit(a) * F.col("x")[k]
+    scored = found.select("doc_id", (F.col("fold") == 1).alias("held_out"), (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(40.0)), F.lit(-40.0))))).alias("score"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"))
 
 
 def op1_kneser_ney_toxicity(spark, sf_dir):

@@ -375,6 +375,32 @@ def test_toxicity(spark):
     assert {r["score"] for r in toxicity.score_documents(df.limit(20), lab.limit(0)).collect()} == {0.5}
 
 
+def test_toxicity_counts_grow_with_the_corpus(spark):
+    # more distinct words than any table of 2^18 slots could hold apart, two of them in both folds
+    rng = np.random.default_rng(2)
+    rows = [(f"shared vilo {' '.join(f'{a}{b}' for a, b in zip(*[[''.join(chr(97 + int(d) % 26) for d in rng.integers(0, 26, 4)) for _ in range(1000)] for _ in range(2)], strict=True))}", i % 2, 1 + i % 2) for i in range(400)]
+    got = toxicity.count_events(spark.createDataFrame(rows, "text string, toxic int, fold int")).collect()
+    plain = [collections.defaultdict(set) for _ in range(6)]
+    for text, toxic, fold in rows:
+        w = [None, *text.split()]
+        for before, x in zip(w, w[1:], strict=False):
+            for m, bits in enumerate((1, 2, 3)):
+                if bits & fold:
+                    plain[2 * m + toxic][x].add(before)
+    want = {h: tuple(len(p.get(x, ())) for p in plain) for x in set().union(*plain) for h in [toxicity.hashed([x.encode()], 1).view(np.int64)[0]]}
+    assert len(got) > 1 << 18 and {r["word"]: tuple(r[c] for c in toxicity.COUNTS) for r in got} == want
+
+
+def test_toxicity_of_joined_words(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, prose(rng, 30) + (" vilo grokba" if i % 4 == 0 else " lomi"), "en", "s", 0) for i in range(300)]
+    df = spark.createDataFrame([*rows, (900, "never seen wörter", "en", "s", 0)], SCHEMA)
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    # where a word is looked up doesn't change what is found: all sent, few sent, none sent
+    got = [{r["doc_id"]: r["score"] for r in toxicity.score_documents(df, lab, known).collect()} for known in (toxicity.KNOWN, 40, 0)]
+    assert len(got[0]) == 301 and all(g == pytest.approx(got[0], abs=1e-6) for g in got[1:])
+
+
 # ------------------------------------------------------------------ all
 def test_empty_tables(spark, tmp_path):
     e = empty(spark)

@@ -60,6 +60,16 @@ def clear(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in mine])
 
 
+def hash_of(text: Column) -> Column:
+    """XXH64 of a text, null as empty; with doc_id the key of a row, as doc_id may be null or repeated."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def same_row() -> Column:
+    """Rows (doc_id, text) whose key is (_id, _hash)."""
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (hash_of(F.col("text")) == F.col("_hash"))
+
+
 def words(text: Column) -> Column:
     """Words between ASCII white space, by native functions; null: none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE, -1), "")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, Scratch, clear
+from .common import Rows, Scratch, clear, same_row
 
 # Stretches of 13 tokens and more: for any two substituted tokens in 13 some mask steps over both.
 MASKS = ("110110011", "111010110", "101101101", "111111000", "1111111")
@@ -191,10 +191,10 @@ def found_texts(documents: DataFrame, benchmark: DataFrame, overlap: int = OVERL
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a verified overlap; rows of one doc_id go together."""
+    """Documents without a verified overlap; rows are judged one by one."""
     scratch = Scratch(documents.sparkSession, "decontam-hit")
-    hit = scratch.write(find_contamination(documents, benchmark).select(F.col("doc_id").alias("_id")).distinct(), "hit")
-    return clear(documents, "_id").join(hit, F.col("doc_id") == F.col("_id"), "left_anti")
+    hit = scratch.write(found_texts(documents, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "hit")
+    return clear(documents, "_id", "_hash").join(hit, same_row(), "left_anti")
 
 
 def op3_spaced_seed_leaks(spark, sf_dir):

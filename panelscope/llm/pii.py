@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, clear, words
+from .common import Scratch, clear, same_row, words
 
 WINDOW, SUPPORT, DISCLOSURE = 48, 3, 0.8
 KINDS = ("email", "ip", "card", "phone")
@@ -109,7 +109,7 @@ def find_base(documents: DataFrame) -> DataFrame:
 
 
 def find_spans(documents: DataFrame) -> DataFrame:
-    """row, doc_id, spans, terms: array of (start, stop) of disclosing terms, by start."""
+    """row, doc_id, text_hash, spans, terms: array of (start, stop) of disclosing terms, by start."""
     scratch = Scratch(documents.sparkSession, "pii")
     base = scratch.write(find_base(documents), "base")
     held = base.select("row", "text_hash", F.explode("contexts").alias("c")).select("row", "text_hash", "c.*")
@@ -132,7 +132,7 @@ def find_spans(documents: DataFrame) -> DataFrame:
     terms = scratch.write(terms, "terms")
     scratch.release()
     none = F.array().cast("array<struct<start:int,stop:int>>")
-    return base.join(terms, F.col("row") == F.col("row_"), "left").select("row", "doc_id", "spans", F.coalesce("terms", none).alias("terms"))
+    return base.join(terms, F.col("row") == F.col("row_"), "left").select("row", "doc_id", "text_hash", "spans", F.coalesce("terms", none).alias("terms"))
 
 
 def joined(spans: Column, terms: Column | None = None) -> Column:
@@ -144,14 +144,13 @@ def joined(spans: Column, terms: Column | None = None) -> Column:
 
 def sanitise(documents: DataFrame) -> DataFrame:
     """The documents, entities generalised to [KIND] and disclosing terms to [TERM]; n_chars follows the text."""
-    rows = documents.withColumn("_row", F.monotonically_increasing_id())
     found = find_spans(documents).filter(F.size("spans") > 0)
     marks = F.concat(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)), F.lit("]")).alias("mark"))),
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit("[TERM]").alias("mark"))),
     )
-    found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.first(F.array_sort(marks)).alias("_marks"))
-    d = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.first(F.array_sort(marks)).alias("_marks"))
+    d = clear(documents, "_id", "_hash", "_marks").join(found, same_row(), "left")
     # spans of different kinds can overlap: what an earlier span has covered is not written again
     text = F.aggregate(
         "_marks",

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, clear, words
+from .common import SPACE, Scratch, clear, same_row, words
 
 MIN_DOCS, SHARE, KEEP_SHARE = 20, 0.05, 0.5
 WORD = r"[^\x20\x09-\x0D]"
@@ -60,6 +60,11 @@ def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE
 
 def judge(documents: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
     """A row per document: counts, n_common_words, common (hashes of its common lines), base_failed, kept."""
+    return judge_texts(documents, min_docs, share, keep_share).drop("host", "text_hash")
+
+
+def judge_texts(documents: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
+    """The same with host and text_hash, on which alone a verdict depends."""
     spark = documents.sparkSession
     scratch = Scratch(spark, "quality")
     rows = scratch.write(features(documents).withColumn("row", F.monotonically_increasing_id()), "features")
@@ -67,19 +72,19 @@ def judge(documents: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE,
     hits = rows.select("row", "host", F.explode("lines").alias("line")).join(common, F.col("host").eqNullSafe(F.col("host_")) & (F.col("line.h") == F.col("h_")))
     removed = scratch.write(hits.groupBy("row").agg(F.sum("line.n").alias("n_common_words"), F.collect_set("h_").alias("common")), "removed")
     scratch.release()
-    out = rows.drop("lines", "text_hash").join(removed, "row", "left").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
+    out = rows.drop("lines").join(removed, "row", "left").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("n_words") - F.col("n_common_words")
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (left > 0) & (left >= keep_share * F.col("n_words"))).drop("row", "host")
+    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (left > 0) & (left >= keep_share * F.col("n_words"))).drop("row")
 
 
 def filter_documents(documents: DataFrame) -> DataFrame:
     """Documents that are kept, without their common lines; n_chars follows the text."""
     scratch = Scratch(documents.sparkSession, "quality-kept")
-    verdict = judge(documents)
-    # a table keyed by doc_id of what changes: rejected documents and those with common lines
-    out = scratch.write(verdict.filter(~F.col("kept") | (F.col("n_common_words") > 0)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"), F.first("common", True).alias("_common")), "changed")
-    joined = clear(documents, "_id", "_kept", "_common").join(out, F.col("doc_id").eqNullSafe(F.col("_id")), "left").filter(F.coalesce("_kept", F.lit(True)))
+    verdict = judge_texts(documents)
+    # a table keyed by doc_id, host and text of what changes: rejected documents and those with common lines
+    out = scratch.write(verdict.filter(~F.col("kept") | (F.col("n_common_words") > 0)).groupBy(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash")).agg(F.max("kept").alias("_kept"), F.first("common", True).alias("_common")), "changed")
+    joined = clear(documents, "_id", "_host", "_hash", "_kept", "_common").join(out, same_row() & F.col("source").eqNullSafe(F.col("_host")), "left").filter(F.coalesce("_kept", F.lit(True)))
     rest = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(F.col("_common"), line_hash(x))), "\n")
     text = F.when(F.col("_common").isNull(), F.col("text")).otherwise(rest)
     changed = joined.withColumn("text", text)

@@ -13,7 +13,7 @@ the pairs, so that a large group of near copies costs a number of rows that is l
 Components come from alternating large-star and small-star rounds on the links, cut by tables in the shared folder.
 
 Null or blank text: fingerprint zero, linked like any other. Rows sharing a doc_id keep a row each; a null doc_id
-gets its group's smallest doc_id (null if there is none).
+gets its group's smallest doc_id (null if there is none). keep_one() tells rows apart by doc_id and text.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, Scratch, clear
+from .common import Rows, Scratch, clear, hash_of, same_row
 
 BITS, MATCHES, SHINGLE, SEED = 3, 5, 3, 42
 #: Members of one list that a task compares with each other; longer lists are cut into pairs of blocks.
@@ -50,21 +50,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * ones > len(grams), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(documents: DataFrame, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) of every row; keyed: and text_hash."""
+    names = ["doc_id", "fp", "text_hash"][: 2 + keyed]
+    schema = pa.schema([(x, pa.int64()) for x in names])
 
     def run(batches):
         rows = Rows(schema)
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for doc_id, text, *key in zip(b.column(0).to_pylist(), b.column(1), *(c.to_pylist() for c in b.columns[2:]), strict=True):
                 fp = fingerprint(text.as_py())
-                rows.add(doc_id, fp - (1 << 64) if fp >> 63 else fp)
+                rows.add(doc_id, fp - (1 << 64) if fp >> 63 else fp, *key)
                 if rows.full():
                     yield rows.batch()
         yield rows.batch()
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    key = [hash_of(F.col("text")).alias("text_hash")] if keyed else []
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *key).mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def _forest(left: np.ndarray, right: np.ndarray | None, bits: int, matches: int) -> list[tuple[int, int]]:
@@ -156,11 +158,15 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(documents: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, fp, component_id of every row."""
+def near_duplicates(documents: DataFrame, scratch: Scratch | None = None, keyed: bool = False) -> DataFrame:
+    """doc_id, fp, component_id of every row; keyed: a component's name is the least key (no doc_id, doc_id, text_hash), which every row has too."""
     scratch = scratch or Scratch(documents.sparkSession, "simhash")
-    prints = scratch.write(fingerprints(clear(documents, "fp")), "prints")
-    distinct = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
+    prints = fingerprints(clear(documents, "fp"), keyed)
+    if keyed:
+        prints = prints.withColumn("key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    own = "key" if keyed else "doc_id"
+    prints = scratch.write(prints, "prints")
+    distinct = scratch.write(prints.groupBy("fp").agg(F.min(own).alias("least"), F.count("*").alias("n")), "distinct")
     edges = scratch.write(links(distinct.select("fp")), "links")
     scratch.release()
     roots = components(edges, scratch)
@@ -173,15 +179,19 @@ def near_duplicates(documents: DataFrame, scratch: Scratch | None = None) -> Dat
     groups = scratch.write(linked.union(alone), "groups").withColumnRenamed("fp", "fp_")
     scratch.release()
     # fingerprints of one row and no link are their own component and need no partner in the join
-    return prints.join(groups, F.col("fp") == F.col("fp_"), "left").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return prints.join(groups, F.col("fp") == F.col("fp_"), "left").select(*prints.columns, F.coalesce("component_id", own).alias("component_id"))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """Documents, of each component only the one with the smallest doc_id; rows of equal doc_id share its fate."""
+    """Documents, of each component only one row: that of the smallest doc_id (nulls last), of several the first by its text's hash."""
     scratch = Scratch(documents.sparkSession, "simhash-kept")
-    found = near_duplicates(documents, scratch)
-    gone = scratch.write(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct(), "gone")
-    return documents.join(gone, documents["doc_id"] == gone["_id"], "left_anti")
+    found = near_duplicates(documents, scratch, keyed=True)
+    keys = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg((~F.min("key").eqNullSafe(F.min("component_id"))).alias("_gone"), F.count("*").alias("_n"))
+    changed = scratch.write(keys.filter("_gone or _n > 1"), "changed")
+    docs = clear(documents, "_id", "_hash", "_gone", "_n").join(changed, same_row(), "left").filter("_gone is null or not _gone")
+    # rows that are equal in doc_id and text; the others need no comparison
+    again = docs.filter("_n is not null").dropDuplicates(["_id", "_hash"])
+    return docs.filter("_n is null").unionByName(again).select(*documents.columns)
 
 
 def op2_simhash_groups(spark, sf_dir):

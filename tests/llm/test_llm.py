@@ -426,6 +426,24 @@ def test_pipeline(spark, docs, texts, tmp_path):
         assert stage(spark, docs, d).columns == docs.columns, name
 
 
+def test_stages_tell_rows_apart(spark):
+    rng = np.random.default_rng(11)
+    one, two, item = prose(rng, 60), prose(rng, 60), prose(rng, 30)
+    junk, mail = "la la la la " * 10, prose(rng, 20) + " boss@corp.example.com"
+    rows = lambda *x: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in x], SCHEMA)
+    left = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    want = lambda *x: sorted(x, key=str)
+    for i in (None, 5):
+        # a clean text beside a rejected, contaminated or private one of the same doc_id, or of none
+        assert left(quality.filter_documents(rows((i, one), (i, junk)))) == [(i, one)]
+        bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+        assert left(decontam.drop_contaminated(rows((i, one), (i, two + " " + item)), bench)) == [(i, one)]
+        got = left(pii.sanitise(rows((i, one), (i, mail), (i, "x " + mail))))
+        assert got == want((i, one), (i, mail.replace("boss@corp.example.com", "[EMAIL]")), (i, "x " + mail.replace("boss@corp.example.com", "[EMAIL]")))
+        # copies go, other texts of the same doc_id stay, and of equal rows one
+        assert left(simhash.keep_one(rows((1, one), (i, one), (i, two), (i, two), (i, item)))) == want((1, one), (i, two), (i, item))
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     from tests.oracle import differences, views

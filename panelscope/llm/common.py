@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,9 +66,37 @@ def hash_of(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def same_row() -> Column:
-    """Rows (doc_id, text) whose key is (_id, _hash)."""
-    return F.col("doc_id").eqNullSafe(F.col("_id")) & (hash_of(F.col("text")) == F.col("_hash"))
+def quoted(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def meet(documents: DataFrame, table: DataFrame, how: str = "left", also: dict[str, str] | None = None) -> tuple[DataFrame, dict[str, Column]]:
+    """Documents joined with what was decided of rows by doc_id (id_), text (hash_) and also other columns, all null-safe.
+
+    The table's columns get names that the documents haven't; the second result finds them.
+    """
+    taken = {c.lower() for c in documents.columns}
+    names = {}
+    for c in table.columns:
+        name = c
+        while name.lower() in taken:
+            name += "_"
+        names[c] = name
+        taken.add(name.lower())
+    table = table.select(*[F.col(c).alias(n) for c, n in names.items()])
+    met = (hash_of(F.col("text")) == F.col(names["hash_"])) & F.col("doc_id").eqNullSafe(F.col(names["id_"]))
+    for mine, its in (also or {}).items():
+        met &= F.col(mine).eqNullSafe(F.col(names[its]))
+    return documents.join(table, met, how), {c: F.col(n) for c, n in names.items()}
+
+
+def changed_text(df: DataFrame, documents: DataFrame, text: Column, where: Column) -> DataFrame:
+    """The documents' columns with a new text; n_chars, if there is one, follows it where the text has changed."""
+    new = {"text": text}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.when(where, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return df.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in documents.columns])
 
 
 def words(text: Column) -> Column:
@@ -83,6 +112,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bitmap(df: DataFrame, key: str, bits: int) -> np.ndarray:
+    """A filter of 2 ** bits bits, set at the low bits of the keys (longs); at most 2 ** (bits - 6) rows of 16 bytes reach the driver."""
+    slot = F.col(key).bitwiseAND((1 << bits) - 1)
+    rows = df.select(F.shiftright(slot, 6).alias("k"), F.expr(f"shiftleft(1L, cast({key} & 63 as int))").alias("b"))
+    table = rows.groupBy("k").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[table.column("k").to_numpy()] = table.column("b").to_numpy().view(np.uint64)
+    return out
+
+
+def passes(key: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which keys (unsigned) the filter lets through: all that it was made of, and some others."""
+    slot = key & np.uint64(len(table) * 64 - 1)
+    return (table[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
+
+
 class Rows:
     """Collects output rows by column and hands out Arrow batches of bounded length."""
 

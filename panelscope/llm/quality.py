@@ -1,10 +1,11 @@
 """Quality rules: per-document counts and cross-document line frequency per host (native).
 
 One pass over the texts makes a narrow row per document: counts, a hash of the text, and for each
-distinct normalised line its hash and words. A line is common on its host (the `source` column) when
-at least `min_docs` distinct texts and at least `share` of the host's distinct texts hold it; exact
-copies count once, so that copies are left to deduplication. Common lines are removed; a document
-that keeps fewer than `keep_share` of its words, or none, is depleted and rejected.
+distinct normalised line its hash and words. A line is common on its host (the `source` column) when its distinct texts
+reach the host's limit: SHARE of the host's distinct texts, but never under MIN_DOCS nor over MAX_DOCS, so that
+a line of the same use is judged alike on small hosts and on one that holds a third of all rows. Exact
+copies count once; copies are left to deduplication. Common lines are removed; a document that keeps fewer than
+`keep_share` of its words, or none, is depleted and rejected.
 
 Null text: no words, so it fails the base rule. Null source: a host of its own. Lines are compared
 by 64-bit hashes of their lower-cased words. A repeated row counts once per distinct text.
@@ -15,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, clear, same_row, words
+from .common import SPACE, Scratch, changed_text, meet, words
 
-MIN_DOCS, SHARE, KEEP_SHARE = 20, 0.05, 0.5
+MIN_DOCS, MAX_DOCS, SHARE, KEEP_SHARE = 5, 100, 0.02, 0.6
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -50,12 +51,13 @@ def features(documents: DataFrame) -> DataFrame:
     )
 
 
-def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """(host, h) of lines that at least min_docs distinct texts, and that share of the host's, hold."""
+def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, h) of lines that as many distinct texts hold as the host's limit says, or more."""
     lines = rows.select("host", "text_hash", F.explode(F.array_distinct(F.col("lines.h"))).alias("h")).distinct()
     held = lines.groupBy("host", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs)
-    texts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("texts")).withColumnRenamed("host", "host_")
-    return held.join(texts, F.col("host").eqNullSafe(F.col("host_"))).filter(F.col("n") >= share * F.col("texts")).select("host", "h")
+    texts = rows.select("host", "text_hash").distinct().groupBy(F.col("host").alias("host_")).agg(F.count("*").alias("texts"))
+    limit = F.greatest(F.lit(float(min_docs)), F.least(F.lit(float(max_docs)), share * F.col("texts")))
+    return held.join(texts, F.col("host").eqNullSafe(F.col("host_"))).filter(F.col("n") >= limit).select("host", "h")
 
 
 def judge(documents: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
@@ -83,14 +85,12 @@ def filter_documents(documents: DataFrame) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "quality-kept")
     verdict = judge_texts(documents)
     # a table keyed by doc_id, host and text of what changes: rejected documents and those with common lines
-    out = scratch.write(verdict.filter(~F.col("kept") | (F.col("n_common_words") > 0)).groupBy(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash")).agg(F.max("kept").alias("_kept"), F.first("common", True).alias("_common")), "changed")
-    joined = clear(documents, "_id", "_host", "_hash", "_kept", "_common").join(out, same_row() & F.col("source").eqNullSafe(F.col("_host")), "left").filter(F.coalesce("_kept", F.lit(True)))
-    rest = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(F.col("_common"), line_hash(x))), "\n")
-    text = F.when(F.col("_common").isNull(), F.col("text")).otherwise(rest)
-    changed = joined.withColumn("text", text)
-    if "n_chars" in documents.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_common").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return changed.select(*documents.columns)
+    changes = verdict.filter(~F.col("kept") | (F.col("n_common_words") > 0))
+    changes = changes.groupBy(F.col("doc_id").alias("id_"), F.col("host").alias("host_"), F.col("text_hash").alias("hash_")).agg(F.max("kept").alias("stays"), F.first("common", True).alias("common"))
+    d, of = meet(documents, scratch.write(changes, "changed"), also={"source": "host_"})
+    rest = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(of["common"], line_hash(x))), "\n")
+    text = F.when(of["common"].isNull(), F.col("text")).otherwise(rest)
+    return changed_text(d.filter(F.coalesce(of["stays"], F.lit(True))), documents, text, of["common"].isNotNull())
 
 
 def op6_quality_rules(spark, sf_dir):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, Scratch, clear, hash_of, same_row
+from .common import Rows, Scratch, hash_of, meet, quoted
 
 BITS, MATCHES, SHINGLE, SEED = 3, 5, 3, 42
 #: Members of one list that a task compares with each other; longer lists are cut into pairs of blocks.
@@ -161,7 +161,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 def near_duplicates(documents: DataFrame, scratch: Scratch | None = None, keyed: bool = False) -> DataFrame:
     """doc_id, fp, component_id of every row; keyed: a component's name is the least key (no doc_id, doc_id, text_hash), which every row has too."""
     scratch = scratch or Scratch(documents.sparkSession, "simhash")
-    prints = fingerprints(clear(documents, "fp"), keyed)
+    prints = fingerprints(documents, keyed)
     if keyed:
         prints = prints.withColumn("key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     own = "key" if keyed else "doc_id"
@@ -186,12 +186,14 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """Documents, of each component only one row: that of the smallest doc_id (nulls last), of several the first by its text's hash."""
     scratch = Scratch(documents.sparkSession, "simhash-kept")
     found = near_duplicates(documents, scratch, keyed=True)
-    keys = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg((~F.min("key").eqNullSafe(F.min("component_id"))).alias("_gone"), F.count("*").alias("_n"))
-    changed = scratch.write(keys.filter("_gone or _n > 1"), "changed")
-    docs = clear(documents, "_id", "_hash", "_gone", "_n").join(changed, same_row(), "left").filter("_gone is null or not _gone")
+    keys = found.groupBy(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).agg((~F.min("key").eqNullSafe(F.min("component_id"))).alias("gone"), F.count("*").alias("n"))
+    changed = scratch.write(keys.filter("gone or n > 1"), "changed")
+    docs, of = meet(documents, changed)
+    docs = docs.filter(of["gone"].isNull() | ~of["gone"])
     # rows that are equal in doc_id and text; the others need no comparison
-    again = docs.filter("_n is not null").dropDuplicates(["_id", "_hash"])
-    return docs.filter("_n is null").unionByName(again).select(*documents.columns)
+    name = lambda c: of[c]._jc.toString()
+    again = docs.filter(of["n"].isNotNull()).dropDuplicates([name("id_"), name("hash_")])
+    return docs.filter(of["n"].isNull()).unionByName(again).select(*quoted(documents))
 
 
 def op2_simhash_groups(spark, sf_dir):

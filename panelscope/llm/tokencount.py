@@ -2,12 +2,13 @@
 
 Pre-tokens are cut by the public pattern. A segmentation of a pre-token into vocabulary pieces scores the sum of its pieces'
 unigram log-probabilities; the model gives a piece of rank r the probability of Zipf's law, 1 / (r + 1) over
-the vocabulary's harmonic sum. The best segmentation of a prefix doesn't depend on what follows, so a worker puts the
-distinct pre-tokens of a batch into a trie, walks it in byte order, and computes the forward score of every shared
-prefix once; a terminal node stores the number of pieces of its pre-token. Equal scores take the fewer pieces.
+the vocabulary's harmonic sum, as tokenizers are not trained here. The best segmentation of a prefix doesn't depend on what follows,
+so a worker inserts the distinct pre-tokens into a trie whose nodes hold the forward score of their prefix: a prefix that
+pre-tokens share is scored once, and each pre-token's count is stored at its terminal node. Equal scores take the fewer
+pieces, then the shorter last piece.
 
 Every byte is a piece, so that every text has a count. Pre-tokens of any length cost time linear in their bytes times
-the longest piece. A worker remembers at most CACHE counts and starts anew beyond.
+the longest piece. A worker's trie has at most NODES nodes before a text.
 
 Null text: empty, no tokens. Repeated rows get equal counts each.
 """
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .bpe import vocabulary
 
-CACHE = 600_000
+#: Nodes of a worker's trie (some 150 bytes each); beyond, it starts anew before the next text.
+NODES = 2_000_000
 
 
 def scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
@@ -42,38 +44,50 @@ class Pieces:
             node[-1] = s
 
 
-def count_tokens(words: list[bytes], pieces: Pieces) -> dict[bytes, int]:
-    """Pieces in the best segmentation of every word.
+class Trie:
+    """Distinct pre-tokens with a forward score per node: the best segmentation of the prefix that leads there, and its pieces.
 
-    The words' trie is walked in sorted order: the path to the current node is a stack of forward scores, cut back to the
-    prefix that a word shares with the one before it.
+    A node is reached by (parent, byte); terminal counts are kept by pre-token.
     """
-    out, best, count, before, root = {}, [0.0], [0], b"", pieces.root
-    for w in sorted(words):
-        k, n = 0, min(len(w), len(before))
-        while k < n and w[k] == before[k]:
-            k += 1
-        del best[k + 1 :], count[k + 1 :]
-        for end in range(k + 1, len(w) + 1):
-            node, top, least, at = root, -math.inf, 0, end
-            while at:
-                at -= 1
-                node = node.get(w[at])
-                if node is None:
-                    break
-                s = node.get(-1)
-                if s is not None:
-                    s += best[at]
-                    if s > top or s == top and count[at] + 1 < least:
-                        top, least = s, count[at] + 1
-            best.append(top)
-            count.append(least)
-        out[w] = count[len(w)]
-        before = w
-    return out
-
-
-_kept: dict = {}
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.clear()
+
+    def clear(self) -> None:
+        self.child: dict[int, int] = {}
+        self.best, self.count = [0.0], [0]
+        self.terminal: dict[str, int] = {}
+
+    def add(self, word: str) -> int:
+        """The pieces of a pre-token; prefixes that the trie has are not scored again."""
+        w, child, best, count, root = word.encode("utf-8", "surrogatepass"), self.child, self.best, self.count, self.pieces.root
+        path, node = [0], 0
+        for end, byte in enumerate(w, 1):
+            step = node << 8 | byte
+            node = child.get(step)
+            if node is None:
+                at, back, top, least = end, root, -math.inf, 0
+                while at:
+                    at -= 1
+                    back = back.get(w[at])
+                    if back is None:
+                        break
+                    s = back.get(-1)
+                    if s is not None:
+                        s += best[path[at]]
+                        n = count[path[at]] + 1
+                        if s > top or s == top and n < least:
+                            top, least = s, n
+                node = child[step] = len(best)
+                best.append(top)
+                count.append(least)
+            path.append(node)
+        self.terminal[word] = count[node]
+        return count[node]
+
+
+_tries: dict[str, tuple] = {}
 
 
 def count_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -85,24 +99,25 @@ def count_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         import regex
 
-        if key not in _kept:
-            _kept.clear()
-            _kept[key] = (regex.compile(pattern).findall, Pieces(scores(shared.value)), {})
-        find, pieces, known = _kept[key]
+        if key not in _tries:
+            _tries.clear()
+            _tries[key] = (regex.compile(pattern).findall, Trie(Pieces(scores(shared.value))))
+        find, trie = _tries[key]
         for big in batches:
             for i in range(0, big.num_rows, 1024):
                 b = big.slice(i, 1024)
-                cut = [find(t or "") for t in b.column(1).to_pylist()]
-                if len(known) > CACHE:
-                    known.clear()
-                new = {w for c in cut for w in c if w not in known}
-                counted = count_tokens([w.encode("utf-8", "surrogatepass") for w in new], pieces)
-                for w in new:
-                    known[w] = counted[w.encode("utf-8", "surrogatepass")]
-                get = known.__getitem__
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(c) for c in cut], pa.int64()), pa.array([sum(map(get, c)) for c in cut], pa.int64())], names=["doc_id", "n_pretokens", "n_tokens"]
-                )
+                n_pre, n_tok = [], []
+                for text in b.column(1):
+                    cut = find(text.as_py() or "")
+                    if len(trie.best) > NODES:
+                        trie.clear()
+                    known = trie.terminal
+                    for w in cut:
+                        if w not in known:
+                            trie.add(w)
+                    n_pre.append(len(cut))
+                    n_tok.append(sum(map(known.__getitem__, cut)))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_pre, pa.int64()), pa.array(n_tok, pa.int64())], names=["doc_id", "n_pretokens", "n_tokens"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_pretokens long, n_tokens long")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, clear
+from .common import Scratch, bitmap, clear, passes
 
 LENGTH, GRAM = 20, 12
 #: Bits of the seed filter (2 ** FILTER_BITS); its size doesn't depend on the data.
@@ -94,24 +94,9 @@ def count_anchors(documents: DataFrame, length: int, gram: int) -> DataFrame:
     return documents.select("text").mapInArrow(run, "anchor long, n int").groupBy("anchor").agg(F.sum("n").alias("n"))
 
 
-def seed_filter(seeds: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of 2 ** bits bits; at most 2 ** (bits - 6) rows of 16 bytes reach the driver."""
-    slot = F.col("anchor").bitwiseAND((1 << bits) - 1)
-    rows = seeds.select(F.shiftright(slot, 6).alias("k"), F.expr("shiftleft(1L, cast(anchor & 63 as int))").alias("b"))
-    table = rows.groupBy("k").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[table.column("k").to_numpy()] = table.column("b").to_numpy().view(np.uint64)
-    return out
-
-
-def _passes(anchor: np.ndarray, bitmap: np.ndarray, bits: int) -> np.ndarray:
-    slot = anchor & np.uint64((1 << bits) - 1)
-    return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
-
-
-def _extended(win: Windows, bitmap: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _extended(win: Windows, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts of the windows that extend a seed, whether an equal one starts earlier in the text, and the hashes."""
-    starts = np.flatnonzero(_passes(win.anchor, bitmap, bits))
+    starts = np.flatnonzero(passes(win.anchor, table))
     if not len(starts):
         return starts, np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     a, w = win.anchor[starts], win.digest()[starts]
@@ -128,7 +113,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     scratch = Scratch(spark, "substring")
     docs = clear(documents, "key").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), "doc_id", "text")
     seeds = scratch.write(count_anchors(docs, length, gram).filter("n > 1").select("anchor"), "seeds")
-    shared = spark.sparkContext.broadcast(seed_filter(seeds, filter_bits))
+    shared = spark.sparkContext.broadcast(bitmap(seeds, "anchor", filter_bits))
     scratch.drop("seeds")
     scratch.release()
     schema = pa.schema([("a", pa.int64()), ("w", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
@@ -145,7 +130,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                 words = split(text.as_py())
                 if len(words) < length:
                     continue
-                starts, again, a, w = _extended(Windows(words, length, gram), shared.value, filter_bits)
+                starts, again, a, w = _extended(Windows(words, length, gram), shared.value)
                 if len(starts):
                     new = ~again
                     held.append((a[new], w[new], np.full(new.sum(), key, np.int64), starts[new].astype(np.int32)))
@@ -168,7 +153,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                 words = split(text.as_py())
                 gone = np.zeros(len(words) + 1, np.int64)
                 if len(words) >= length:
-                    starts, again, _, _ = _extended(Windows(words, length, gram), shared.value, filter_bits)
+                    starts, again, _, _ = _extended(Windows(words, length, gram), shared.value)
                     # later equals in the text repeat an earlier one even where that one is first of all
                     known = np.asarray(firsts.values.to_numpy(), np.int64) if firsts.is_valid else np.zeros(0, np.int64)
                     repeats = starts[again | ~np.isin(starts, known)]

@@ -128,6 +128,13 @@ def passes(key: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts are long rows: lowers the session's limit of rows in an Arrow batch, which executors hold several of."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 class Rows:
     """Collects output rows by column and hands out Arrow batches of bounded length."""
 

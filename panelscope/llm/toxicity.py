@@ -1,21 +1,24 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two interpolated Kneser-Ney models, of toxic and of ordinary texts, over words and their stems:
+Two interpolated Kneser-Ney models, of toxic and of ordinary texts, in which a word follows from the letters before:
 
-    word -> its first six letters -> its first four letters -> shared estimate
+    word <- its first six letters <- its first four letters <- shared estimate
+
+P_c(w) = max(n_c(w) - D, 0) / N_c + f_c P_c(six) S(w | six), and likewise for six and four letters, where f_c is the mass that
+class c's discounts have freed at that level and S comes from the counts of both classes together. Each class
+discounts its own counts and passes the freed mass down by shared counts alone, so that expressions too rare to count in
+either class get nearly equal odds in both, and inflected forms meet at their stems. Each level sums to one.
 
 All counts are continuation counts, the number of distinct words that come before, so that copies of a text and
-repeated lines add nothing. Each class discounts its own counts at every level and passes the freed mass down;
-how a prefix's mass falls to longer prefixes and words, and the last level, come from the counts of both classes
-together, so that expressions too rare to count in either class get nearly equal odds in both, and inflected forms meet
-at their stems. The order of two words is left to the shared part, which cancels in the comparison.
-
-Counts are taken over all labelled rows of the folds crc32(doc_id) mod 3 = 0 and 2, by distributed aggregates, into
-tables keyed by 64-bit hashes of the words and prefixes, which grow with the corpus. Of these the KNOWN most frequent
-words go to the executors; whatever else a document holds is joined with the tables, by distinct words, so that the
-bound decides where a word is looked up and never what is found. The same holds for the prefixes, which stand in for unseen words. A text gives its length-normalised
-log-likelihood ratio, the same over its most suspicious stretches, and its length; a logistic curve over these is fitted on
-all labelled rows of both folds, each scored by the counts of the other fold. Rows with remainder 1 are held out.
+repeated lines add nothing. They are taken over all labelled rows of the folds crc32(doc_id) mod 3 = 0 and 2, by distributed
+aggregates, into tables keyed by 64-bit hashes of the words and prefixes, which grow with the corpus. A word that no class
+keeps after the discount has the ratio of its longest kept prefix, so only kept ones are looked up. Of these the KNOWN most
+frequent per level go to the executors, the others as filters of 2 ** FILTER_BITS bits: whatever passes one is joined with
+the tables, so that the bound decides where a word is looked up and never what is found.
+
+What is compared is the length-normalised log-likelihood of the text under both models: over the whole text and over its most
+suspicious stretches of STRETCHES words. A logistic curve over these differences is fitted on all labelled rows of both
+folds, each scored by the counts of the other fold. Rows with remainder 1 are held out.
 
 Null and empty texts are scored as texts without words. Only text enters a score. Of repeated labels of one doc_id
 the larger counts. Without labelled rows of both classes every score is 0.5.
@@ -30,17 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, Scratch, clear
+from .common import Rows, Scratch, bitmap, clear, passes
 
 #: Words, and prefixes of each length, whose ratios are sent to the executors, at most; the others are joined.
-KNOWN = 1 << 20
+KNOWN, FILTER_BITS = 1 << 20, 26
 #: Passes over the labelled rows, each counting the words of one remainder of their hashes: bounds the shuffle files held at once.
 PASSES = 2
 #: Taken from every count of a class and given to what the classes share.
 DISCOUNT = 2.0
 STRETCHES = (1, 4, 16)
 PREDICTED_FROM = 0.7
-FEATURES = 3 + len(STRETCHES)
+FEATURES = 1 + len(STRETCHES)
 
 _word = re.compile(r"[^\W\d_]+")
 
@@ -123,19 +126,22 @@ def count_events(labelled: DataFrame, passes: int = 1, one: int = 0) -> DataFram
 
 
 def ratios(counts: DataFrame, scratch: Scratch) -> tuple[list[DataFrame], list[float]]:
-    """Tables key, n, r (log P_toxic - log P_ordinary by model) of words, of words unseen by their six and by their four letters; r of all others."""
+    """Tables key, n, r (log P_toxic - log P_ordinary by model) of words, of words unseen by their six and by their four letters; r of all others.
+
+    A word has half a count in the shared estimate besides what it was counted, a prefix what its words have.
+    """
     sums = [F.sum(x).alias(x) for x in COUNTS]
-    word = counts
-    six = scratch.write(word.groupBy("six").agg(F.max("four").alias("four"), *sums), "sixes")
-    four = scratch.write(six.groupBy("four").agg(*sums), "fours")
+    word = counts.withColumn("words", F.lit(1))
+    six = scratch.write(word.groupBy("six").agg(F.max("four").alias("four"), F.count("*").alias("words"), *sums), "sixes")
+    four = scratch.write(six.groupBy("four").agg(F.sum("words").alias("words"), *sums), "fours")
     levels = [
-        df.agg(F.count("*").alias("rows"), *[F.coalesce(F.sum(x), F.lit(0)).cast("double").alias(x) for x in COUNTS], *[F.coalesce(F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))), F.lit(0.0)).alias(f"d{x}") for x in COUNTS]).first()
+        df.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), *[F.coalesce(F.sum(x), F.lit(0)).cast("double").alias(x) for x in COUNTS], *[F.coalesce(F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))), F.lit(0.0)).alias(f"d{x}") for x in COUNTS]).first()
         for df in (four, six, word)
     ]
     total = {x: max(levels[0][x], 1.0) for x in COUNTS}
     freed = [{x: (level[f"d{x}"] / total[x]) or 1.0 for x in COUNTS} for level in levels]
     each = [(m, c, f"n{m}{c}") for m in range(len(MODELS)) for c in (0, 1)]
-    pooled = lambda m: F.col(f"n{m}0") + F.col(f"n{m}1") + 0.5
+    pooled = lambda m: F.col(f"n{m}0") + F.col(f"n{m}1") + 0.5 * F.col("words")
     kept = lambda x: F.greatest(F.col(x) - DISCOUNT, F.lit(0.0)) / total[x]
 
     def log_ratio(p, factor):
@@ -145,11 +151,11 @@ def ratios(counts: DataFrame, scratch: Scratch) -> tuple[list[DataFrame], list[f
     def level(df, key, above, i):
         """Probabilities p{m}{c} and pooled counts s{m} of a level from those of the one above it."""
         if above is None:
-            everything = [levels[0][f"n{m}0"] + levels[0][f"n{m}1"] + 0.5 * levels[0]["rows"] or 1.0 for m in range(len(MODELS))]
+            everything = [levels[0][f"n{m}0"] + levels[0][f"n{m}1"] + 0.5 * levels[0]["words"] or 1.0 for m in range(len(MODELS))]
             share = lambda m, c: pooled(m) / everything[m]
         else:
             df = df.join(above, key)
-            share = lambda m, c: F.col(f"above_p{m}{c}") * F.least(pooled(m) / F.col(f"above_s{m}"), F.lit(1.0))
+            share = lambda m, c: F.col(f"above_p{m}{c}") * pooled(m) / F.col(f"above_s{m}")
         return df.select("*", *[(kept(x) + freed[i][x] * share(m, c)).alias(f"p{m}{c}") for m, c, x in each], *[pooled(m).alias(f"s{m}") for m in range(len(MODELS))])
 
     def handed(df, key):
@@ -157,21 +163,22 @@ def ratios(counts: DataFrame, scratch: Scratch) -> tuple[list[DataFrame], list[f
 
     p = lambda m, c: F.col(f"p{m}{c}")
     n = (F.col("n20") + F.col("n21")).alias("n")
+    held = F.greatest(*COUNTS) > DISCOUNT
     four = level(four, None, None, 0)
     six = level(six, "four", handed(four, "four"), 1)
-    word = level(word, "six", handed(six, "six"), 2)
-    # an unseen word or prefix has the same share of what is passed down in both classes
+    word = level(word.filter(held), "six", handed(six, "six"), 2)
+    # an unseen word or prefix, or one that no class keeps, has the same share of what is passed down in both classes
     tables = [
-        word.select(F.col("word").alias("key"), n, log_ratio(p, lambda x: 1.0)),
-        six.select(F.col("six").alias("key"), n, log_ratio(p, lambda x: freed[2][x])),
-        four.select(F.col("four").alias("key"), n, log_ratio(p, lambda x: freed[2][x] * freed[1][x])),
+        word.filter(held).select(F.col("word").alias("key"), n, log_ratio(p, lambda x: 1.0)),
+        six.filter(held).select(F.col("six").alias("key"), n, log_ratio(p, lambda x: freed[2][x])),
+        four.filter(held).select(F.col("four").alias("key"), n, log_ratio(p, lambda x: freed[2][x] * freed[1][x])),
     ]
     rest = [float(np.prod([f[f"n{m}1"] / f[f"n{m}0"] for f in freed])) for m in range(len(MODELS))]
     return [scratch.write(t, f"ratios-{k}") for k, t in enumerate(tables)], [float(np.log(x)) for x in rest]
 
 
-def most_frequent(table: DataFrame, limit: int) -> tuple[pa.Table, bool]:
-    """key, r of the highest counts, at most so many; whether these are all."""
+def most_frequent(table: DataFrame, limit: int) -> tuple[pa.Table, np.ndarray | None]:
+    """key, r of the highest counts, at most so many, and a filter of the other keys if there are any."""
     step = F.floor(8 * F.log2(F.col("n") + 1)).cast("int")
     sizes = {r["step"]: r["count"] for r in table.groupBy(step.alias("step")).count().collect()}
     least, held = 1 << 30, 0
@@ -180,46 +187,46 @@ def most_frequent(table: DataFrame, limit: int) -> tuple[pa.Table, bool]:
         if held > limit:
             break
         least = k
-    return table.filter(step >= least).select("key", "r").toArrow(), held <= limit
+    return table.filter(step >= least).select("key", "r").toArrow(), bitmap(table.filter(step < least), "key", FILTER_BITS) if held > limit else None
 
 
 class Level:
-    """Ratios of the most frequent words, or prefixes of a length, sorted by their hashes."""
+    """Ratios of the most frequent words, or prefixes of a length, sorted by their hashes, and a filter of the others."""
 
-    def __init__(self, table: pa.Table, complete: bool):
+    def __init__(self, table: pa.Table, others: np.ndarray | None):
         key = table.column("key").to_numpy().view(np.uint64)
         r = table.column("r").combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(key), len(MODELS))
         order = np.argsort(key)
-        self.key, self.r, self.complete = key[order], r[order], complete
+        self.key, self.r, self.others = key[order], r[order], others
 
-    def look(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ratios by word and model, and which words are known."""
+    def look(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ratios by word and model, which words are known, and which may be in the table."""
+        perhaps = np.zeros(len(key), bool) if self.others is None else passes(key, self.others)
         if not len(self.key):
-            return np.zeros((len(key), len(MODELS)), np.float32), np.zeros(len(key), bool)
+            return np.zeros((len(key), len(MODELS)), np.float32), np.zeros(len(key), bool), perhaps
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return self.r[at], self.key[at] == key
+        found = self.key[at] == key
+        return self.r[at], found, perhaps & ~found
 
 
 class Known:
-    """What the executors hold of words, six letters and four letters; of a level that is complete, what it lacks is unseen."""
+    """What the executors hold of words, six letters and four letters; what a level neither holds nor lets pass is unseen there."""
 
     def __init__(self, levels: list[Level], rest: list[float]):
         self.levels, self.rest = levels, np.array(rest, np.float32)
 
     def look(self, w: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ratios by word and model, and the places of words that only the tables can tell."""
-        r, found = self.levels[0].look(hashed(w, len(w)))
-        todo = np.flatnonzero(~found)
-        for level, letters in zip(self.levels, (6, 4, None), strict=True):
-            if not len(todo) or not level.complete:
-                return r, todo
-            if letters is None:
+        r = np.repeat(self.rest[None, :], len(w), 0)
+        todo, asked = np.arange(len(w)), [np.zeros(0, np.int64)]
+        for level, letters in zip(self.levels, (None, 6, 4), strict=True):
+            if not len(todo):
                 break
-            found_r, found = self.levels[1 if letters == 6 else 2].look(hashed((w[k][:letters] for k in todo), len(todo)))
+            found_r, found, perhaps = level.look(hashed((w[k][:letters] for k in todo), len(todo)))
             r[todo[found]] = found_r[found]
-            todo = todo[~found]
-        r[todo] = self.rest
-        return r, todo[:0]
+            asked.append(todo[perhaps])
+            todo = todo[~found & ~perhaps]
+        return r, np.concatenate(asked)
 
 
 def features(r: np.ndarray) -> np.ndarray:
@@ -230,9 +237,7 @@ def features(r: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0.0], np.cumsum(r)])
     # the highest mean over a stretch of so many words
     tops = [float((sums[k:] - sums[:-k]).max() / k) if len(r) > k else float(r.sum() / k) for k in STRETCHES]
-    # how many words alone speak clearly for the class, per square root of the length
-    strong = float((r > 3.0).sum() / np.sqrt(len(r)))
-    return np.array([float(r.mean()), *tops, strong, float(np.log1p(len(r)))])
+    return np.array([float(r.mean()), *tops])
 
 
 def used(fold: int) -> list[int]:

@@ -348,13 +348,70 @@ def oracle_sql() -> dict[str, str]:
     detail_names = "T_final, lv_q1, lv_q3, lv_mc, lv_lo, lv_hi, adjbox_shrink_w, long_ll, long_ul, trend_d, td_q1, td_q3, td_mc"
     three = [factors(m, n) for m, n in (("sales_value", "fs"), ("n_item", "fn"), ("avg_price", "fa"))]
     factor_cols = f"peer_set, category, metric, n_common, source, base_periods_used, n_links_borrowed, n_links_missing, n_plus, n_minus, significant, direction, reason, {r('link_t, idx_t, idx_base, T_raw, sign_stat, T_final', 6)}"
+    fl = " UNION ALL ".join(
+        f"SELECT '{c}' AS flag_column, count(*) FILTER ({c} = 'high') AS n_high, count(*) FILTER ({c} = 'low') AS n_low, count(*) FILTER ({c} = 'ok') AS n_ok, count(*) FILTER ({c} = 'na') AS n_na FROM graded"
+        for c in ("adjbox_value", "share_adjbox", "item_adjbox", "level_test", "trend_test", "history_flag")
+    )
+    features = f"""hp AS (SELECT * FROM sc WHERE period_id < {PERIOD}),
+ft AS (SELECT DISTINCT store_id, PLATFORMNAME, SHOPTYPE FROM hp),
+fx AS (
+  SELECT store_id, PLATFORMNAME, SHOPTYPE, 'share:' || category AS feature, avg(ln(1 + 1000 * coalesce(cat_share, 0))) AS x FROM hp GROUP BY ALL
+  UNION ALL SELECT store_id, PLATFORMNAME, SHOPTYPE, 'size', ln(1 + avg(v)) FROM (SELECT store_id, PLATFORMNAME, SHOPTYPE, period_id, sum(sales_value) AS v FROM hp GROUP BY ALL) GROUP BY ALL),
+fg AS (SELECT t.*, f.feature, coalesce(x.x, 0) AS x FROM ft t JOIN (SELECT DISTINCT PLATFORMNAME, SHOPTYPE, feature FROM fx) f USING (PLATFORMNAME, SHOPTYPE)
+  LEFT JOIN fx x ON x.store_id = t.store_id AND x.PLATFORMNAME = t.PLATFORMNAME AND x.SHOPTYPE = t.SHOPTYPE AND x.feature = f.feature),
+fz AS (SELECT store_id, PLATFORMNAME, SHOPTYPE, feature, (x - avg(x) OVER w) / CASE WHEN stddev_pop(x) OVER w > 1e-9 THEN stddev_pop(x) OVER w ELSE 1 END AS z FROM fg WINDOW w AS (PARTITION BY PLATFORMNAME, SHOPTYPE, feature))"""
+    changes = """ch AS (SELECT period_id, ln(1 + greatest(sales_value, 0)) - lag(ln(1 + greatest(sales_value, 0))) OVER (PARTITION BY store_id ORDER BY period_id) AS c FROM totals),
+cp AS (SELECT period_id, count(*) AS n, avg(c) AS mean, quantile_cont(c, 0.1) AS p10, quantile_cont(c, 0.5) AS p50, quantile_cont(c, 0.9) AS p90, quantile_cont(abs(c), 0.5) AS jump, avg((abs(c) > 0.5)::int) AS share_wide
+  FROM ch WHERE c IS NOT NULL GROUP BY 1)"""
+    overview = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{a}' AS section, '{b}' AS figure, round(CAST(({x}) AS DOUBLE), 2) AS value"
+        for i, a, b, x in (
+            (1, "data", "item_rows", f"SELECT count(*) FROM matched WHERE period_id = {PERIOD}"),
+            (2, "data", "item_sales", f"SELECT sum(sales_value) FROM matched WHERE period_id = {PERIOD}"),
+            (10, "stores", "stores", "SELECT count(DISTINCT store_id) FROM clusters"),
+            (11, "stores", "clusters", "SELECT count(DISTINCT cluster_id) FROM clusters"),
+            (12, "stores", "soft_kept_stores", "SELECT 0"),
+            (20, "detection", "rows_judged", "SELECT count(*) FROM graded"),
+            (21, "detection", "zero_filled", "SELECT count(*) FROM graded WHERE zero_filled"),
+            *[(22 + k, "detection", f"level_{x}", f"SELECT count(*) FROM graded WHERE level = '{x}'") for k, x in enumerate(("normal", "watch", "suspicious", "high_confidence"))],
+            *[(30 + k, "direction", x, f"SELECT count(*) FROM graded WHERE level IN ('suspicious', 'high_confidence') AND direction = '{x}'") for k, x in enumerate(("high", "low"))],
+            (32, "direction", "to_fix", "SELECT count(*) FROM graded WHERE level IN ('suspicious', 'high_confidence') AND auto_action = 'fix'"),
+        )
+    )
     return {
+        "e_flag_counts": sql([*TO_PANEL, detail(), GRADED], fl),
+        "e_province_lift": sql(
+            loose,
+            "SELECT PROVINCE, count(*) AS n, round(avg(f), 6) AS rate, round(CASE WHEN any_value(everything) > 0 THEN avg(f) / any_value(everything) END, 6) AS lift FROM (SELECT PROVINCE, (level IN ('suspicious', 'high_confidence'))::int AS f, avg((level IN ('suspicious', 'high_confidence'))::int) OVER () AS everything FROM graded) GROUP BY 1 HAVING count(*) >= 20",
+        ),
+        "e_systematic_share": sql(
+            [*loose, "ce AS (SELECT PROVINCE, category, count(*) AS n, greatest(count(*) FILTER (history_flag = 'high'), count(*) FILTER (history_flag = 'low')) AS m FROM graded WHERE history_flag <> 'na' GROUP BY ALL HAVING count(*) >= 3)"],
+            "SELECT count(*) AS n_cells, count(*) FILTER (2 * m > n) AS n_systematic, round(CASE WHEN count(*) > 0 THEN count(*) FILTER (2 * m > n) / count(*) END, 6) AS share FROM ce",
+        ),
+        "e_gated_flags": sql(
+            [*TO_PANEL, detail(), GRADED, "gf AS (SELECT category, CASE WHEN lv_q1 IS NULL OR coalesce(n_peer, 0) < 5 THEN NULL ELSE (ln(1 + greatest(sales_value, 0)) > lv_q3 + 1.5 * (lv_q3 - lv_q1) OR ln(1 + greatest(sales_value, 0)) < lv_q1 - 1.5 * (lv_q3 - lv_q1))::int END AS f FROM graded)"],
+            "SELECT category, count(*) AS n, round(avg(f), 6) AS rate FROM gf GROUP BY 1",
+        ),
+        "a_group_statistics": sql(
+            [*BASE, LOGGED, "gs AS (SELECT *, quantile_cont(lv, 0.5) OVER (PARTITION BY PLATFORMNAME, SHOPTYPE, PROVINCE) AS median FROM lg)"],
+            "SELECT PLATFORMNAME, SHOPTYPE, PROVINCE, count(*) AS n, round(quantile_cont(lv, 0.25), 6) AS q1, round(any_value(median), 6) AS med, round(quantile_cont(lv, 0.75), 6) AS q3, round(quantile_cont(abs(lv - median), 0.5), 6) AS mad FROM gs GROUP BY 1, 2, 3 HAVING count(*) >= 3",
+        ),
+        "a_period_changes": sql(
+            [*BASE, changes],
+            "SELECT a.period_id, n, round(mean, 6) AS mean, round(p10, 6) AS p10, round(p50, 6) AS p50, round(p90, 6) AS p90, round(jump, 6) AS jump, round(share_wide, 6) AS share_wide, round(jump / (SELECT quantile_cont(b.jump, 0.5) FROM cp b WHERE b.period_id <> a.period_id), 6) AS z FROM cp a",
+        ),
+        "a_feature_matrix": sql([*BASE, features], "SELECT store_id, PLATFORMNAME, SHOPTYPE, feature, round(z, 5) AS z FROM fz"),
+        "n_nearest_stores": sql(
+            [*BASE, features, "nd AS (SELECT a.store_id, b.store_id AS peer, sqrt(sum((a.z - b.z) * (a.z - b.z))) AS distance FROM fz a JOIN fz b USING (PLATFORMNAME, SHOPTYPE, feature) WHERE a.store_id <> b.store_id GROUP BY 1, 2)"],
+            "SELECT store_id, peer, round(distance, 4) AS distance, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY store_id ORDER BY round(distance, 6), peer) AS INT) AS rank FROM nd) WHERE rank <= 5",
+        ),
+        "r_overview": sql([*TO_PANEL, detail(), GRADED, DROP, MISSING], overview + " UNION ALL SELECT 40, 'store_drop', 'dropped_stores', CAST((SELECT count(*) FROM drops d JOIN clusters USING (store_id) WHERE n_cat > 0 AND prev_n_cat >= 5 AND n_cat < 0.5 * prev_n_cat) AS DOUBLE) UNION ALL SELECT 50, 'missing_sales', 'missing_rows', CAST((SELECT count(*) FROM assigned a JOIN ms USING (peer_set, category) JOIN mp USING (peer_set, category, store_id) WHERE peer_level <> 'na' AND zero_filled AND n_sell / n_peer >= 0.7 AND prev_sales_value > greatest(0.5 * coalesce(peer_median_sales, 0), 0)) AS DOUBLE)"),
         "min_slice": sql([ITEMS, STORES, MATCHED], "SELECT period_id, SHOPTYPE AS shoptype, PROVINCE AS province, category, PLATFORMNAME AS platform, round(sum(sales_value), 2) AS sales_value, round(sum(sales_unit), 2) AS sales_unit, count(DISTINCT store_id) AS store_count FROM matched GROUP BY ALL"),
         "q_quality": quality(),
         "q_quality_clean": sql([ITEMS], "SELECT period_id, count(*) AS n_rows, round(sum(sales_value), 2) AS sales_value FROM (SELECT *, row_number() OVER (PARTITION BY period_id, store_id, prod_id ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate, sales_value) AS n FROM items) WHERE n = 1 GROUP BY 1"),
         "j_match": sql([ITEMS, STORES, MATCHED], "SELECT period_id, PLATFORMNAME, SHOPTYPE, PROVINCE, count(*) AS n_rows, round(sum(sales_value), 2) AS sales_value FROM matched GROUP BY ALL"),
         "j_unmatched": sql(
-            [ITEMS, STORES, "a AS (SELECT DISTINCT period_id, store_id FROM items)", "b AS (SELECT DISTINCT period_id, store_id FROM stores WHERE CAST(store_id AS INT) % 10 <> 3 AND period_id IN (SELECT period_id FROM a))"],
+            [ITEMS, STORES, "a AS (SELECT DISTINCT period_id, store_id FROM items)", "b AS (SELECT DISTINCT period_id, store_id FROM stores WHERE period_id IN (SELECT period_id FROM a))"],
             "SELECT coalesce(a.period_id, b.period_id) AS period_id, count(*) FILTER (a.store_id IS NOT NULL AND b.store_id IS NOT NULL) AS matched_stores, count(*) FILTER (b.store_id IS NULL) AS item_only_stores, count(*) FILTER (a.store_id IS NULL) AS target_only_stores FROM a FULL JOIN b ON a.period_id = b.period_id AND a.store_id = b.store_id GROUP BY 1",
         ),
         "a_store_category": sql(BASE, f"SELECT period_id, store_id, category, PLATFORMNAME, SHOPTYPE, PROVINCE, n_item, {r('sales_value, sales_unit', 2)}, {r('avg_price, cat_share', 6)} FROM sc"),

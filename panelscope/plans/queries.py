@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import clusters, detect, facts, items, seasonal, spread
+from ..operators import clusters, detect, evaluate, facts, items, seasonal, spread
 from ..sources.tables import panel_items, panel_stores
 from .params import Params
 from .pipeline import Panel
@@ -69,7 +69,7 @@ def j_match(spark, sf_dir):
 
 def j_unmatched(spark, sf_dir):
     p = panel(spark, sf_dir)
-    return facts.unmatched_stores(p.raw, p.stores.filter("cast(store_id as int) % 10 <> 3"))
+    return facts.unmatched_stores(p.raw, p.stores)
 
 
 def a_store_category(spark, sf_dir):
@@ -218,7 +218,6 @@ def t_threshold_grid(spark, sf_dir):
 
 def t_rate_by_period(spark, sf_dir):
     p = loose(spark, sf_dir)
-    p.replayed = 2
     return rounded(detect.rate_by_period(p.levels, 3.0), 6)
 
 
@@ -256,7 +255,54 @@ def a_anova(spark, sf_dir):
     return rounded(spark.createDataFrame([tuple(r.values()) for r in table], "factor string, df long, ss double, partial_eta2 double, strength string, n_obs long, r2_model double"), 6)
 
 
+FLAG_COLUMNS = ("adjbox_value", "share_adjbox", "item_adjbox", "level_test", "trend_test", "history_flag")
+STRONG = F.col("level").isin("suspicious", "high_confidence")
+
+
+def e_flag_counts(spark, sf_dir):
+    return evaluate.flag_counts(panel(spark, sf_dir).detail(PERIOD), *FLAG_COLUMNS)
+
+
+def e_province_lift(spark, sf_dir):
+    return rounded(evaluate.province_lift(loose(spark, sf_dir).graded(PERIOD), STRONG, 20), 6)
+
+
+def e_systematic_share(spark, sf_dir):
+    return rounded(evaluate.systematic_share(loose(spark, sf_dir).graded(PERIOD), F.col("history_flag")), 6)
+
+
+def e_gated_flags(spark, sf_dir):
+    d = panel(spark, sf_dir).detail(PERIOD)
+    lv = S.log_sales(F.col("sales_value"))
+    flag = evaluate.gated_flag(lv, F.col("lv_q1") - 1.5 * (F.col("lv_q3") - F.col("lv_q1")), F.col("lv_q3") + 1.5 * (F.col("lv_q3") - F.col("lv_q1")), F.col("n_peer"))
+    return rounded(d.select("category", flag.alias("flag")).groupBy("category").agg(F.count("*").alias("n"), evaluate.flag_rate(F.col("flag")).alias("rate")), 6)
+
+
+def a_group_statistics(spark, sf_dir):
+    return rounded(evaluate.group_statistics(logged(spark, sf_dir), [*CELL, "PROVINCE"], "lv"), 6)
+
+
+def a_period_changes(spark, sf_dir):
+    totals = facts.store_totals(panel(spark, sf_dir).sc, CELL).withColumn("lv", S.log_sales(F.col("sales_value")))
+    return rounded(evaluate.change_summary(evaluate.period_changes(totals, ["store_id"], "lv"), 0.5), 6)
+
+
+def a_feature_matrix(spark, sf_dir):
+    return rounded(evaluate.feature_matrix(panel(spark, sf_dir).sc, CELL, PERIOD).drop("PROVINCE"), 5)
+
+
+def n_nearest_stores(spark, sf_dir):
+    return rounded(evaluate.nearest_stores(evaluate.feature_matrix(panel(spark, sf_dir).sc, CELL, PERIOD), CELL, 5), 4)
+
+
+def r_overview(spark, sf_dir):
+    p = panel(spark, sf_dir)
+    missing = detect.missing_sales(p.assigned(PERIOD), p.panel(PERIOD), PERIOD, PERIOD - 1, PARAMS.replaced(peer={"missing_sell_ratio": 0.7}).peer)
+    return rounded(evaluate.key_figures(p.matched.filter(F.col("period_id") == PERIOD), p.clusters, p.graded(PERIOD), p.drops, missing), 2)
+
+
 QUERIES = [
+    e_flag_counts, e_province_lift, e_systematic_share, e_gated_flags, a_group_statistics, a_period_changes, a_feature_matrix, n_nearest_stores, r_overview,
     b_leave_one_out, b_deviation, b_kappa, a_anova,
     min_slice, q_quality, q_quality_clean, j_match, j_unmatched, a_store_category, a_item_totals, a_store_totals, a_profile, a_zero_fill, c_size_bands, c_band_summary, c_mix_distance, c_mix_profile_weighted,
     c_trend_distance, c_merge_provinces, c_sample_check, c_category_check, s_links, s_factors, d_cross_stats, d_level_history, d_detail, e_graded, e_level_summary, g_store_drop, g_missing_sales, i_drilldown,

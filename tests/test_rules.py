@@ -44,11 +44,21 @@ def test_medcouple_known_and_selected():
 def test_heterogeneity():
     rng = np.random.default_rng(1)
     a, b, far = rng.normal(8, 1, 60), rng.normal(8, 1, 60), rng.normal(11, 1, 60)
-    assert robust.passes(robust.heterogeneity(a, b, 10), 1.2, 0.2, 0.25, 2.0)
-    assert not robust.passes(robust.heterogeneity(a, far, 10), 1.2, 0.2, 0.25, 2.0)
-    assert robust.heterogeneity(a[:3], b, 10)["psi_bins"] == 0
-    assert robust.variance_inflation([2, 2], [2, 2]) == 1.0 and robust.variance_inflation([2, 2], [3, 3]) == math.inf
-    assert robust.psi([1, 1], [1, 1], 4) == 0.0
+    limits = robust.Limits(1.2, 0.2, 0.25, 2.0)
+    pool = lambda x, y, **k: robust.Pooling(robust.Sample(x), robust.Sample(y), limits)
+    assert pool(a, b).allowed and not pool(a, far).allowed
+    assert pool(a[:3], b).bins == 0 and math.isnan(pool(a[:3], b).psi)
+    assert pool([2, 2], [2, 2]).vi == 1.0 and pool([2, 2], [3, 3]).vi == math.inf and math.isnan(pool([], [1]).vi)
+    both = np.concatenate([a, far])
+    assert pool(a, far).vi == pytest.approx(both.var() / ((a.var() + far.var()) / 2))
+    assert pool([1, 1, np.nan] * 5, [1, 1] * 5).psi == 0.0
+    whole = robust.Sample(a) + robust.Sample(b)
+    assert whole.values.tolist() == sorted([*a, *b]) and whole.spread == pytest.approx(np.concatenate([a, b]).var() * 120)
+    at = np.sort(both)
+    assert pool(a, far).ks == pytest.approx(max(abs((a <= x).mean() - (far <= x).mean()) for x in at))
+    cuts = np.quantile(both, np.arange(1, 10) / 10)
+    f = [np.clip(np.histogram(x, [-np.inf, *cuts, np.inf])[0] / len(x), 1e-4, None) for x in (a, far)]
+    assert pool(a, far).psi == pytest.approx(((f[1] - f[0]) * np.log(f[1] / f[0])).sum())
     assert robust.chi2_quantile(0.95, 1) == pytest.approx(3.8414588, abs=1e-6)
     assert robust.chi2_quantile(0.95, 9) == pytest.approx(16.9189776, abs=1e-6)
     assert robust.ks_p_value(1.0, 3, 3) == pytest.approx(0.1)
@@ -161,12 +171,14 @@ def test_merge_provinces():
     rng = np.random.default_rng(0)
     values = {f"P{i}": rng.normal(8, 0.4, n) for i, n in enumerate((40, 8, 8, 40), 1)}
     near = {("P1", "P2"): 0.1, ("P1", "P3"): 5.0, ("P1", "P4"): 4.0, ("P2", "P3"): 4.5, ("P2", "P4"): 3.0, ("P3", "P4"): 2.0}
-    m = clusters.Merge(values, near, Clusters(min_store=30, min_store_soft=20, vi_max=1.5, ks_max=0.9, psi_max=9.0, max_median_ratio=3.0, max_distance_quantile=0.5)).run()
-    assert sorted(sorted(g) for g in m.groups.values()) == [["P1", "P2"], ["P3", "P4"]]
-    kept = clusters.Merge(values, near, Clusters(min_store=30, min_store_soft=20, vi_max=0.5)).run()
-    assert len(kept.groups) == 4 and {"P2", "P3"} <= kept.soft
-    forced = clusters.Merge(values, near, Clusters(min_store=30, min_store_soft=20, vi_max=0.5, allow_forced_nearest=True)).run()
-    assert {x["reason"] for x in forced.log} == {"forced_nearest"}
+    merged = lambda **k: clusters.Stratum(values, near, Clusters(min_store=30, min_store_soft=20, **k))
+    m = merged(vi_max=1.5, ks_max=0.9, psi_max=9.0, max_median_ratio=3.0, max_distance_quantile=0.5)
+    assert sorted(sorted(g.members) for g in m.groups.values()) == [["P1", "P2"], ["P3", "P4"]]
+    assert {x["reason"] for x in m.steps} == {"accepted"} and m.fate["P2"] == ("accepted", 0.1) and all(m.still_fits(g, values) for g in m.groups.values())
+    kept = merged(vi_max=0.5)
+    assert len(kept.groups) == 4 and {g.name for g in kept.groups.values() if g.kept} >= {"P2", "P3"}
+    forced = merged(vi_max=0.5, allow_forced_nearest=True)
+    assert {x["reason"] for x in forced.steps} == {"forced_nearest"}
     assert clusters.mix_weights(3) == [1 / 7, 2 / 7, 4 / 7] and clusters.mix_weights(3, (1.0,)) == [0.0, 0.0, 1.0]
     assert clusters.mix_window([1, 2, 3, 4], 3, 2) == [2, 3] and clusters.mix_window([1, 2], 2, 2, 9) == [1, 2]
 

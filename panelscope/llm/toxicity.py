@@ -75,28 +75,28 @@ def count_events(labelled: DataFrame, passes: int = 1, one: int = 0) -> DataFram
     A continuation count is a number of distinct words before, over all rows of the model's folds. Of several passes
     each gives the words of one remainder of their hashes.
     """
-    schema = pa.schema([("word", pa.int64()), ("other", pa.int64()), ("kind", pa.int32()), ("fold", pa.int32())])
+    schema = pa.schema([("word", pa.int64()), ("other", pa.int64()), ("four", pa.int64()), ("fold", pa.int32())])
 
-    # kinds: 0 and 1 a pair with the word before, by class; 2 and 3 the word's prefixes
+    # a row is a pair with the word before (other: 40 bits of its hash, then the class), or, with fold 0, the word's prefixes (other: six letters)
     def pairs(batches):
         held, size, new, told = [], 0, set(), set()
 
         def out():
-            word, other, tag = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first = np.unique(other ^ (tag.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
+            word, other, fold = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first = np.unique((word * np.uint64(0x9E3779B97F4A7C15)) ^ other ^ (fold.astype(np.uint64) << np.uint64(60)), return_index=True)
             # a word's prefixes are told once, or again when the task has forgotten
             w = list(new)
             if len(told) > 300_000:
                 told.clear()
             told.update(w)
             new.clear()
-            whole, (six, four) = hashed(w, len(w)), prefixes(w)
-            fixed = lambda k: np.full(len(w), k, np.int32)
+            six, four = prefixes(w)
+            none = lambda n: np.zeros(n, np.int64)
             cols = [
-                np.concatenate([word[first], whole, whole]).view(np.int64),
-                np.concatenate([other[first], six, four]).view(np.int64),
-                np.concatenate([tag[first] & 1, fixed(2), fixed(3)]).astype(np.int32),
-                np.concatenate([tag[first] >> 1, fixed(0), fixed(0)]).astype(np.int32),
+                np.concatenate([word[first], hashed(w, len(w))]).view(np.int64),
+                np.concatenate([other[first], six]).view(np.int64),
+                np.concatenate([none(len(first)), four.view(np.int64)]),
+                np.concatenate([fold[first], none(len(w))]).astype(np.int32),
             ]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], schema=schema)
 
@@ -106,10 +106,9 @@ def count_events(labelled: DataFrame, passes: int = 1, one: int = 0) -> DataFram
                 if w:
                     word = hashed(w, len(w))
                     before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])
-                    mixed = (before ^ (before >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + word
-                    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+                    other = (before >> np.uint64(24) << np.uint64(1)) | np.uint64(int(toxic))
                     mine = np.flatnonzero(word % np.uint64(passes) == one)
-                    held.append((word[mine], mixed[mine], np.full(len(mine), int(toxic) | fold << 1, np.int32)))
+                    held.append((word[mine], other[mine], np.full(len(mine), fold, np.int32)))
                     new.update(w[k] for k in mine if w[k] not in told)
                     size += len(mine)
                 if size > 1_000_000:
@@ -118,10 +117,11 @@ def count_events(labelled: DataFrame, passes: int = 1, one: int = 0) -> DataFram
         if size:
             yield out()
 
-    pair = labelled.mapInArrow(pairs, "word long, other long, kind int, fold int")
-    pair = pair.groupBy("word", "other", "kind").agg(F.bit_or("fold").alias("fold"))
-    n = [F.count(F.when((F.col("kind") == c) & (F.col("fold").bitwiseAND(bits) != 0), 1)).alias(f"n{m}{c}") for m, bits in enumerate(MODELS) for c in (0, 1)]
-    part = [F.max(F.when(F.col("kind") == k, F.col("other"))).alias(x) for k, x in ((2, "six"), (3, "four"))]
+    pair = labelled.mapInArrow(pairs, "word long, other long, four long, fold int")
+    pair = pair.groupBy("word", "other").agg(F.bit_or("fold").alias("fold"), F.max("four").alias("four"), F.min("four").alias("four_"))
+    n = [F.count(F.when((F.col("fold").bitwiseAND(bits) != 0) & (F.col("other").bitwiseAND(1) == c), 1)).alias(f"n{m}{c}") for m, bits in enumerate(MODELS) for c in (0, 1)]
+    own = F.col("fold") == 0
+    part = [F.max(F.when(own, F.col("other"))).alias("six"), F.max(F.when(own, F.when(F.col("four") != 0, F.col("four")).otherwise(F.col("four_")))).alias("four")]
     return pair.groupBy("word").agg(*part, *n)
 
 

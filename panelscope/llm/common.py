@@ -71,7 +71,7 @@ def quoted(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
-def meet(documents: DataFrame, table: DataFrame, how: str = "left", also: dict[str, str] | None = None) -> tuple[DataFrame, dict[str, Column]]:
+def meet(documents: DataFrame, table: DataFrame, how: str = "left", also: dict[str, str] | None = None, hint: str | None = None) -> tuple[DataFrame, dict[str, Column]]:
     """Documents joined with what was decided of rows by doc_id (id_), text (hash_) and also other columns, all null-safe.
 
     The table's columns get names that the documents haven't; the second result finds them.
@@ -88,7 +88,7 @@ def meet(documents: DataFrame, table: DataFrame, how: str = "left", also: dict[s
     met = (hash_of(F.col("text")) == F.col(names["hash_"])) & F.col("doc_id").eqNullSafe(F.col(names["id_"]))
     for mine, its in (also or {}).items():
         met &= F.col(mine).eqNullSafe(F.col(names[its]))
-    return documents.join(table, met, how), {c: F.col(n) for c, n in names.items()}
+    return documents.join(table.hint(hint) if hint else table, met, how), {c: F.col(n) for c, n in names.items()}
 
 
 def changed_text(df: DataFrame, documents: DataFrame, text: Column, where: Column) -> DataFrame:

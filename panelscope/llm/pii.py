@@ -104,7 +104,7 @@ def apart(spans: Column, others: Column) -> Column:
 
 
 def find_base(documents: DataFrame) -> DataFrame:
-    """row, doc_id, text_hash, spans (by kind, then start) and contexts (distinct pairs of entity and term, as hashes)."""
+    """row, doc_id, text_hash, spans (by kind, then start), contexts (distinct pairs of entity and term, as hashes), and the text of rows with spans."""
     text = F.coalesce("text", F.lit(""))
     d = documents.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("row"))
     d = d.select("row", "doc_id", "text", F.concat(*[spans_of(k, F.col("text")) for k in BASE]).alias("base"), spans_of("secret", F.col("text")).alias("secrets"))
@@ -130,7 +130,7 @@ def find_base(documents: DataFrame) -> DataFrame:
         return F.transform(clean, lambda t: F.struct(F.xxhash64(F.lower(s["value"])).alias("e"), F.xxhash64(F.lower(t["w"])).alias("t")))
 
     around = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.concat(terms(s, True), terms(s, False)))))
-    return d.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), "spans", F.when(F.size("spans") > 0, around).otherwise(F.array().cast("array<struct<e:bigint,t:bigint>>")).alias("contexts"))
+    return d.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), "spans", F.when(F.size("spans") > 0, around).otherwise(F.array().cast("array<struct<e:bigint,t:bigint>>")).alias("contexts"), F.when(F.size("spans") > 0, F.col("text")).alias("text"))
 
 
 def disclosing(base: DataFrame, documents: DataFrame, scratch: Scratch) -> DataFrame:
@@ -138,14 +138,15 @@ def disclosing(base: DataFrame, documents: DataFrame, scratch: Scratch) -> DataF
     pairs = base.select("text_hash", F.explode("contexts").alias("c")).select("text_hash", "c.*").distinct().groupBy("e", "t").agg(F.count("*").alias("n_et"))
     pairs = scratch.write(pairs, "pairs")
     held = documents.select(F.coalesce("text", F.lit("")).alias("text")).select(F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(words(F.lower("text")))).alias("w")).select("text_hash", F.xxhash64("w").alias("t"))
-    # of all words of the corpus only context terms go on
-    met = scratch.write(held.join(pairs.select("t").distinct(), "t", "left_semi").distinct(), "met")
+    # of all words of the corpus only context terms are counted, and only those that tell something are met again
+    counts = scratch.write(held.join(pairs.select("t").distinct(), "t", "left_semi").distinct().groupBy("t").agg(F.count("*").alias("n_t")), "counts")
     holds = base.select("text_hash", F.explode("spans.value").alias("v")).select("text_hash", F.xxhash64(F.lower("v")).alias("e")).distinct()
     texts = base.agg(F.count_distinct("text_hash").alias("n")).first()["n"]
     prior = F.col("n_e") / F.lit(max(texts, 1))
     tells = lambda n: F.log2((n + prior) / (F.col("n_t") + 1) / prior) >= DISCLOSURE * -F.log2(prior)
-    judged = pairs.join(holds.groupBy("e").agg(F.count("*").alias("n_e")), "e").join(met.groupBy("t").agg(F.count("*").alias("n_t")), "t").filter(F.col("n_e") < texts)
+    judged = pairs.join(holds.groupBy("e").agg(F.count("*").alias("n_e")), "e").join(counts, "t").filter(F.col("n_e") < texts)
     judged = scratch.write(judged.select("e", "t", tells(F.col("n_et")).alias("here"), tells(F.col("n_et") - 1).alias("anywhere")).filter("here"), "judged")
+    met = scratch.write(held.join(judged.select("t").distinct(), "t", "left_semi").distinct(), "met")
     anywhere = met.join(judged.filter("anywhere").select("t").distinct(), "t")
     here = met.join(judged.select("e", "t"), "t").join(holds, ["text_hash", "e"], "left_semi")
     return scratch.write(anywhere.select("text_hash", "t").union(here.select("text_hash", "t")).distinct(), "told")
@@ -165,12 +166,14 @@ def find_spans(documents: DataFrame) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "pii")
     base = scratch.write(find_base(documents), "base")
     told = disclosing(base, documents, scratch)
-    marked = told.groupBy("text_hash").agg(F.collect_list("t").alias("marks"))
-    spans = base.filter(F.size("spans") > 0).groupBy(F.col("text_hash").alias("hash_")).agg(F.first("spans").alias("spans"))
-    marked = scratch.write(marked.join(spans, F.col("text_hash") == F.col("hash_"), "left").select(F.col("text_hash").alias("hash_"), "marks", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")), "marked")
-    # only texts that hold a term are met; of copies one is enough
-    texts = documents.select("text").join(marked, F.xxhash64("text") == F.col("hash_"))
-    terms = texts.select("hash_", places(F.col("text"), F.col("marks"), F.col("spans")).alias("terms")).groupBy("hash_").agg(F.first("terms").alias("terms"))
+    marked = scratch.write(told.groupBy(F.col("text_hash").alias("hash_")).agg(F.collect_list("t").alias("marks")), "marked")
+    # nearly all texts with terms hold entities, whose rows have kept their text; of copies one is enough
+    texts = base.filter(F.size("spans") > 0).select("text_hash", "text", "spans").join(marked, F.col("text_hash") == F.col("hash_"))
+    own = texts.select("hash_", places(F.col("text"), F.col("marks"), F.col("spans")).alias("terms"))
+    others = scratch.write(marked.join(base.filter(F.size("spans") > 0).select("text_hash"), F.col("text_hash") == F.col("hash_"), "left_anti"), "others")
+    texts = documents.select("text").join(others, F.xxhash64("text") == F.col("hash_"))
+    other = texts.select("hash_", places(F.col("text"), F.col("marks"), F.array().cast(SPAN)).alias("terms"))
+    terms = own.union(other).groupBy("hash_").agg(F.first("terms").alias("terms"))
     terms = scratch.write(terms, "terms")
     scratch.release()
     none = F.array().cast("array<struct<start:int,stop:int>>")
@@ -192,7 +195,7 @@ def sanitise(documents: DataFrame) -> DataFrame:
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit("[TERM]").alias("mark"))),
     )
     found = found.groupBy(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).agg(F.first(F.array_sort(marks)).alias("marks"))
-    d, of = meet(documents, found)
+    d, of = meet(documents, Scratch(documents.sparkSession, "pii-marks").write(found, "marks"))
     # spans of different kinds can overlap: what an earlier span has covered is not written again
     text = F.aggregate(
         of["marks"],

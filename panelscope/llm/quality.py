@@ -87,7 +87,8 @@ def filter_documents(documents: DataFrame) -> DataFrame:
     # a table keyed by doc_id, host and text of what changes: rejected documents and those with common lines
     changes = verdict.filter(~F.col("kept") | (F.col("n_common_words") > 0))
     changes = changes.groupBy(F.col("doc_id").alias("id_"), F.col("host").alias("host_"), F.col("text_hash").alias("hash_")).agg(F.max("kept").alias("stays"), F.first("common", True).alias("common"))
-    d, of = meet(documents, scratch.write(changes, "changed"), also={"source": "host_"})
+    # much of a corpus has common lines: the same join at every size
+    d, of = meet(documents, scratch.write(changes, "changed"), also={"source": "host_"}, hint="merge")
     rest = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(of["common"], line_hash(x))), "\n")
     text = F.when(of["common"].isNull(), F.col("text")).otherwise(rest)
     return changed_text(d.filter(F.coalesce(of["stays"], F.lit(True))), documents, text, of["common"].isNotNull())

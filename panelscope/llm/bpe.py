@@ -36,14 +36,14 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-ROUNDS, LONG, CHUNK_BYTES, CACHE_BYTES, SLICE_BYTES = 12, 64, 300_000, 40_000_000, 1_500_000
+ROUNDS, LONG, CHUNK_BYTES, CACHE_BYTES, SLICE_BYTES = 12, 64, 600_000, 128_000_000, 3_000_000
 #: Above every rank; and what a cached word weighs besides its bytes.
 NEVER, WORD_WEIGHT = 1 << 30, 180
 
 #: Rows of every round; the rows of a word without a pair in the table go out once more, as done.
 SHORT_SQL = """
 WITH RECURSIVE run(word, pos, tok, after, round, done) AS (
-    SELECT word, pos, tok, after, 0, false FROM state
+    SELECT word, pos, tok, after, CAST(0 AS UTINYINT), false FROM state
   UNION ALL
     SELECT word, pos, made, after, round, done
     FROM (
@@ -54,7 +54,7 @@ WITH RECURSIVE run(word, pos, tok, after, round, done) AS (
                 SELECT word, pos, tok, round, rank, best,
                        coalesce(rank < before_least AND rank <= after_least OR (CAST(rank AS BIGINT) << 32) + pos = best, false) AS pick
                 FROM (
-                    SELECT r.word, r.pos, r.tok, r.round + 1 AS round, m.rank, coalesce(lag(m.before_least) OVER w, {never}) AS before_least, coalesce(lead(m.after_least) OVER w, {never}) AS after_least,
+                    SELECT r.word, r.pos, r.tok, CAST(r.round + 1 AS UTINYINT) AS round, m.rank, coalesce(lag(m.before_least) OVER w, {never}) AS before_least, coalesce(lead(m.after_least) OVER w, {never}) AS after_least,
                            min((CAST(m.rank AS BIGINT) << 32) + r.pos) OVER (PARTITION BY r.word ORDER BY r.pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best
                     FROM run r LEFT JOIN pairs m ON m.a = r.tok AND m.b = r.after
                     WHERE r.round < {rounds} AND NOT r.done
@@ -101,7 +101,7 @@ WITH RECURSIVE run(word, pos, tok, after, round) AS (
 SELECT word, pos, tok, after, round < {rounds} AS done FROM run JOIN (SELECT word AS ended, max(round) AS last FROM run GROUP BY word) ON word = ended AND round = last
 """
 #: Texts of ids: entries of the vocabulary, a character per byte, in the order of positions.
-DECODE_SQL = "SELECT seq, string_agg(entry, '' ORDER BY pos) FROM ids JOIN vocab USING (id) GROUP BY seq"
+DECODE_SQL = "SELECT seq, array_to_string(list(entry ORDER BY pos), '') FROM ids JOIN vocab USING (id) GROUP BY seq"
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
@@ -146,7 +146,7 @@ def numbered(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Codec:
     """One worker's DuckDB with pair table and vocabulary, and the words it has encoded."""
 
-    def __init__(self, ranks: dict[bytes, int], pairs: np.ndarray, pattern: str, memory_mb: int = 96):
+    def __init__(self, ranks: dict[bytes, int], pairs: np.ndarray, pattern: str, memory_mb: int = 160):
         import tempfile
 
         import duckdb
@@ -172,7 +172,7 @@ class Codec:
         tok = self.byte[np.frombuffer(b"".join(words), np.uint8)]
         last = np.zeros(len(tok), bool)
         last[np.cumsum(lengths) - 1] = True
-        rows = pa.table({"word": word, "pos": pos, "tok": tok, "after": pa.array(np.append(tok[1:], 0), pa.int32(), mask=last)})  # noqa: F841
+        rows = pa.table({"word": word, "pos": pos.astype(np.uint8) if query is SHORT_SQL else pos, "tok": tok, "after": pa.array(np.append(tok[1:], 0), pa.int32(), mask=last)})  # noqa: F841
         self.db.execute("CREATE OR REPLACE TEMP TABLE state AS SELECT * FROM rows")
         while True:
             self.db.execute(f"CREATE OR REPLACE TEMP TABLE found AS {query.format(rounds=rounds, never=NEVER)}")

@@ -256,7 +256,6 @@ def a_anova(spark, sf_dir):
 
 
 FLAG_COLUMNS = ("adjbox_value", "share_adjbox", "item_adjbox", "level_test", "trend_test", "history_flag")
-STRONG = F.col("level").isin("suspicious", "high_confidence")
 
 
 def e_flag_counts(spark, sf_dir):
@@ -264,7 +263,7 @@ def e_flag_counts(spark, sf_dir):
 
 
 def e_province_lift(spark, sf_dir):
-    return rounded(evaluate.province_lift(loose(spark, sf_dir).graded(PERIOD), STRONG, 20), 6)
+    return rounded(evaluate.province_lift(loose(spark, sf_dir).graded(PERIOD), F.col("level").isin("suspicious", "high_confidence"), 20), 6)
 
 
 def e_systematic_share(spark, sf_dir):

@@ -13,7 +13,16 @@ the pairs, so that a large group of near copies costs a number of rows that is l
 Components come from alternating large-star and small-star rounds on the links, cut by tables in the shared folder.
 
 Null or blank text: fingerprint zero, linked like any other. Rows sharing a doc_id keep a row each; a null doc_id
-gets its group's smallest doc_id (null if there is none). keep_one() tells rows apart by doc_id and text.
+gets its group's smallest doc_id (null if there is none).
+
+near_copies() and keep_one() link texts whose five-word shingles have a Jaccard similarity of 0.8 or more. No radius of
+a 64-bit SimHash says that: at 0.8 a positional byte of two texts agrees in 27 of 100 cases only, so that keys which are
+selective in a large corpus would need some 150 lists a text. There the fingerprint has 64 positional bytes, each the
+SimHash byte of a min-wise sample of one shingle, which agrees as often as the similarity says. The rest is the
+same index: lists keyed by five positional bytes, shared bytes tallied, pairs under the minimum dropped, a spanning
+forest of the others given out with its best pairs first, and each of its pairs verified by the shingles themselves. Two
+texts at exactly 0.8 share a list in 99 of 100 cases and reach the minimum in 999 of 1000; above, more often. Texts are told apart by their hash, rows by doc_id
+and text. Fewer than five words: the whole sequence is the shingle; null or blank texts are equal to each other alone.
 """
 
 from __future__ import annotations
@@ -28,45 +37,66 @@ from .common import Rows, Scratch, hash_of, meet, quoted
 BITS, MATCHES, SHINGLE, SEED = 3, 5, 3, 42
 #: Members of one list that a task compares with each other; longer lists are cut into pairs of blocks.
 BLOCK = 2048
+#: Near copies: words of a shingle, least Jaccard similarity, positional bytes of the sampled fingerprint, of a key, and lists.
+COPY_SHINGLE, SIMILARITY, POSITIONS, KEY_BYTES, LISTS = 5, 0.8, 64, 5, 12
 TRIPLES = [(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3), (4, 5, 6), (4, 5, 7), (4, 6, 7), (5, 6, 7)]
 
+_SALT, _ODD = np.random.default_rng(SEED).integers(0, 1 << 63, (2, POSITIONS), np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64-bit SimHash; a bit is set if more than half of the shingles' hashes have it."""
+    hashes = shingle_hashes(text, shingle, seed)
+    if not len(hashes):
+        return 0
+    h = hashes.view(np.uint8).reshape(-1, 8)
+    ones = np.concatenate([np.bincount(h[:, j], minlength=256) @ _BYTE_BITS for j in range(8)])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def shingle_hashes(text: str | None, shingle: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; the whole sequence where words are fewer."""
     import xxhash
 
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not w:
-        return 0
     if len(w) <= shingle:
-        grams = [b" ".join(w)]
+        grams = [b" ".join(w)] if w else []
     else:
         grams = [b" ".join(g) for g in zip(*(w[i:] for i in range(shingle)), strict=False)]
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(g, seed) for g in grams), np.uint64, len(grams)).view(np.uint8).reshape(-1, 8)
-    ones = np.concatenate([np.bincount(h[:, j], minlength=256) @ _BYTE_BITS for j in range(8)])
-    return int(np.packbits(2 * ones > len(grams), bitorder="little").view(np.uint64)[0])
+    return np.fromiter((digest(g, seed) for g in grams), np.uint64, len(grams))
+
 
+def sampled_bytes(hashes: np.ndarray) -> bytes:
+    """At each position the byte of the shingle that comes first in that position's order; no shingles: zeros."""
+    if not len(hashes):
+        return bytes(POSITIONS)
+    first = np.full(POSITIONS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        x = (hashes[at : at + 1024, None] ^ _SALT) * _ODD
+        x ^= x >> np.uint64(32)
+        x *= _ODD
+        x ^= x >> np.uint64(29)
+        np.minimum(first, x.min(axis=0), out=first)
+    return first.astype(np.uint8).tobytes()
 
-def fingerprints(documents: DataFrame, keyed: bool = False) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every row; keyed: and text_hash."""
-    names = ["doc_id", "fp", "text_hash"][: 2 + keyed]
-    schema = pa.schema([(x, pa.int64()) for x in names])
+
+def fingerprints(documents: DataFrame) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         rows = Rows(schema)
         for b in batches:
-            for doc_id, text, *key in zip(b.column(0).to_pylist(), b.column(1), *(c.to_pylist() for c in b.columns[2:]), strict=True):
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 fp = fingerprint(text.as_py())
-                rows.add(doc_id, fp - (1 << 64) if fp >> 63 else fp, *key)
+                rows.add(doc_id, fp - (1 << 64) if fp >> 63 else fp)
                 if rows.full():
                     yield rows.batch()
         yield rows.batch()
 
-    key = [hash_of(F.col("text")).alias("text_hash")] if keyed else []
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *key).mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _forest(left: np.ndarray, right: np.ndarray | None, bits: int, matches: int) -> list[tuple[int, int]]:
@@ -97,19 +127,23 @@ def _forest(left: np.ndarray, right: np.ndarray | None, bits: int, matches: int)
     return out
 
 
+def blocks(index: DataFrame, block: int) -> DataFrame:
+    """same, a, b: the items of each key (item, key), long lists cut into pairs of blocks; same: one block, in a."""
+    long = index.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("cuts"))
+    # nearly all lists are short; the long ones are found by their counts
+    cut = index.join(long, "key", "left").select("key", "item", F.coalesce("cuts", F.lit(1)).alias("cuts"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("item", "key"), F.col("cuts")).cast("int"))
+    dealt = cut.select("key", "item", "own", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "item")
+    lists = dealt.groupBy("key", "i", "j").agg(F.collect_list(F.when(F.col("first"), F.col("item"))).alias("a"), F.collect_list(F.when(~F.col("first"), F.col("item"))).alias("b"))
+    return lists.filter(F.size("a") + F.size("b") > 1).select((F.col("i") == F.col("j")).alias("same"), "a", "b")
+
+
 def links(distinct: DataFrame, bits: int = BITS, matches: int = MATCHES, block: int = BLOCK) -> DataFrame:
     """u, v: links that connect what lies within the bits, from distinct fingerprints (column fp)."""
     byte = lambda j: F.shiftrightunsigned("fp", 8 * j).bitwiseAND(255)
     keys = F.array(*[(F.lit(t).cast("long") * (1 << 24)) + byte(a) * 65536 + byte(b) * 256 + byte(c) for t, (a, b, c) in enumerate(TRIPLES)])
-    index = distinct.select("fp", F.explode(keys).alias("key"))
-    long = index.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("cuts"))
-    # nearly all lists are short; the long ones are found by their counts
-    cut = index.join(long, "key", "left").select("key", "fp", F.coalesce("cuts", F.lit(1)).alias("cuts"))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("fp", "key"), F.col("cuts")).cast("int"))
-    dealt = cut.select("key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "fp")
-    lists = dealt.groupBy("key", "i", "j").agg(F.collect_list(F.when(F.col("first"), F.col("fp"))).alias("a"), F.collect_list(F.when(~F.col("first"), F.col("fp"))).alias("b"))
-    lists = lists.filter(F.size("a") + F.size("b") > 1)
+    lists = blocks(distinct.select(F.col("fp").alias("item"), F.explode(keys).alias("key")), block)
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches):
@@ -123,7 +157,7 @@ def links(distinct: DataFrame, bits: int = BITS, matches: int = MATCHES, block:
                         yield rows.batch()
         yield rows.batch()
 
-    return lists.select((F.col("i") == F.col("j")).alias("same"), "a", "b").mapInArrow(run, "u long, v long").distinct()
+    return lists.mapInArrow(run, "u long, v long").distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -158,34 +192,142 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(documents: DataFrame, scratch: Scratch | None = None, keyed: bool = False) -> DataFrame:
-    """doc_id, fp, component_id of every row; keyed: a component's name is the least key (no doc_id, doc_id, text_hash), which every row has too."""
-    scratch = scratch or Scratch(documents.sparkSession, "simhash")
-    prints = fingerprints(documents, keyed)
-    if keyed:
-        prints = prints.withColumn("key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    own = "key" if keyed else "doc_id"
-    prints = scratch.write(prints, "prints")
-    distinct = scratch.write(prints.groupBy("fp").agg(F.min(own).alias("least"), F.count("*").alias("n")), "distinct")
-    edges = scratch.write(links(distinct.select("fp")), "links")
-    scratch.release()
+def grouped(prints: DataFrame, node: str, distinct: DataFrame, edges: DataFrame, own: str, scratch: Scratch) -> DataFrame:
+    """prints and component_id: the least value of own among the rows whose nodes the edges connect; distinct: node, least, n."""
     roots = components(edges, scratch)
-    # a component's name is the smallest doc_id over its fingerprints
     member = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
-    named = member.join(distinct, member["node"] == distinct["fp"]).select("node", "root", "least")
+    named = member.join(distinct, "node").select("node", "root", "least")
     name = named.groupBy(F.col("root").alias("root_")).agg(F.min("least").alias("component_id"))
-    linked = named.join(name, F.col("root") == F.col("root_")).select(F.col("node").alias("fp"), "component_id")
-    alone = distinct.filter("n > 1").join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
-    groups = scratch.write(linked.union(alone), "groups").withColumnRenamed("fp", "fp_")
+    linked = named.join(name, F.col("root") == F.col("root_")).select("node", "component_id")
+    alone = distinct.filter("n > 1").join(linked.select("node"), "node", "left_anti").select("node", F.col("least").alias("component_id"))
+    groups = scratch.write(linked.union(alone), "groups").withColumnRenamed("node", "node_")
+    scratch.release()
+    # nodes of one row and no link are their own component and need no partner in the join
+    return prints.join(groups, F.col(node) == F.col("node_"), "left").select(*prints.columns, F.coalesce("component_id", own).alias("component_id"))
+
+
+def near_duplicates(documents: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id of the component) of every row."""
+    scratch = scratch or Scratch(documents.sparkSession, "simhash")
+    prints = scratch.write(fingerprints(documents), "prints")
+    distinct = scratch.write(prints.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
+    edges = scratch.write(links(distinct.select(F.col("node").alias("fp"))), "links")
+    scratch.release()
+    return grouped(prints, "fp", distinct, edges, "doc_id", scratch)
+
+
+def sampled_prints(documents: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """doc_id, text_hash, item (text_hash and the positional bytes) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item", pa.binary())])
+
+    def run(batches):
+        rows = Rows(schema)
+        for b in batches:
+            for doc_id, text, key in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                rows.add(doc_id, key, key.to_bytes(8, "little", signed=True) + sampled_bytes(shingle_hashes(text.as_py(), shingle)))
+                if rows.full():
+                    yield rows.batch()
+        yield rows.batch()
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", hash_of(F.col("text")).alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, item binary")
+
+
+def _best_forest(items: np.ndarray, minimum: int, sure: int) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs that share the minimum of bytes; a pair under the sure tally is taken only where nothing better connects."""
+    items = np.unique(items, axis=0)
+    node, fp = items[:, :8].copy().view("<i8")[:, 0], items[:, 8:]
+    out, wait = [], np.argsort(node)
+    rows = fp[wait]
+    while len(wait) > 1:
+        reached, wait, rows = [wait[0]], wait[1:], rows[1:]
+        best, near = np.zeros(len(wait), np.int64), np.zeros(len(wait), np.int64)
+        while len(wait):
+            if reached:
+                x = reached.pop()
+                tally = (rows == fp[x]).sum(axis=1)
+                near[tally > best] = x
+                np.maximum(best, tally, out=best)
+                hit = best >= sure
+            elif best.max() >= minimum:
+                hit = np.arange(len(wait)) == best.argmax()
+            else:
+                break
+            if hit.any():
+                out.extend(zip(node[near[hit]].tolist(), node[wait[hit]].tolist(), strict=True))
+                reached.extend(wait[hit])
+                wait, rows, best, near = wait[~hit], rows[~hit], best[~hit], near[~hit]
+    return out
+
+
+def candidate_copies(distinct: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """u, v: text hashes to verify, from distinct items; three standard deviations under the expected tally is the minimum, two over it sure."""
+    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("item", 9 + KEY_BYTES * i, KEY_BYTES)) for i in range(LISTS)])
+    spread = (POSITIONS * similarity * (1 - similarity)) ** 0.5
+    minimum, sure = int(POSITIONS * similarity - 3 * spread), min(POSITIONS, int(POSITIONS * similarity + 2 * spread))
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(batches):
+        rows = Rows(schema)
+        for batch in batches:
+            for a, b in zip(batch.column(1), batch.column(2), strict=True):
+                both = b"".join(a.as_py() + b.as_py())
+                for pair in _best_forest(np.frombuffer(both, np.uint8).reshape(-1, 8 + POSITIONS), minimum, sure):
+                    rows.add(*sorted(pair))
+                    if rows.full():
+                        yield rows.batch()
+        yield rows.batch()
+
+    return blocks(distinct.select("item", F.explode(keys).alias("key")), block).mapInArrow(run, "u long, v long").distinct()
+
+
+def shingle_sets(documents: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """node (the text's hash), grams (the distinct hashes of its shingles), one row a text."""
+
+    def run(batches):
+        nodes, sets, held = [], [], 0
+
+        def batch():
+            ends = np.cumsum([0, *map(len, sets)])
+            grams = pa.LargeListArray.from_arrays(ends, np.concatenate([*sets, np.zeros(0, np.int64)])).cast(pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), grams], ["node", "grams"])
+
+        for b in batches:
+            for text, node in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                nodes.append(node)
+                sets.append(np.unique(shingle_hashes(text.as_py(), shingle)).view(np.int64))
+                held += len(sets[-1]) + 10
+                if held > 500_000:
+                    yield batch()
+                    nodes, sets, held = [], [], 0
+        yield batch()
+
+    return documents.select("text", "node").mapInArrow(run, "node long, grams array<long>").groupBy("node").agg(F.first("grams").alias("grams"))
+
+
+def near_copies(documents: DataFrame, scratch: Scratch | None = None, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, text_hash, key, component_id of every row; a component's name is the least key (no doc_id, doc_id, text_hash) in it."""
+    scratch = scratch or Scratch(documents.sparkSession, "copies")
+    prints = sampled_prints(documents, shingle).withColumn("key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    prints = scratch.write(prints, "prints")
+    distinct = scratch.write(prints.groupBy(F.col("text_hash").alias("node")).agg(F.min("key").alias("least"), F.count("*").alias("n"), F.first("item").alias("item")), "distinct")
+    pairs = scratch.write(candidate_copies(distinct, similarity), "candidates")
+    scratch.release()
+    # shingles of the texts in question alone
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    texts = documents.select("text", hash_of(F.col("text")).alias("node")).join(asked, "node", "left_semi")
+    sets = scratch.write(shingle_sets(texts, shingle), "sets")
+    met = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+    met = met.select("u", "v", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size(F.array_intersect("a", "b")).alias("both"))
+    edges = scratch.write(met.filter(F.col("both") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("both")) - 1e-9).select("u", "v"), "links")
+    scratch.drop("sets")
     scratch.release()
-    # fingerprints of one row and no link are their own component and need no partner in the join
-    return prints.join(groups, F.col("fp") == F.col("fp_"), "left").select(*prints.columns, F.coalesce("component_id", own).alias("component_id"))
+    return grouped(prints.drop("item"), "text_hash", distinct.drop("item"), edges, "key", scratch)
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """Documents, of each component only one row: that of the smallest doc_id (nulls last), of several the first by its text's hash."""
+    """Documents, of each component of near copies only one row: that of the smallest doc_id (nulls last), of several the first by its text's hash."""
     scratch = Scratch(documents.sparkSession, "simhash-kept")
-    found = near_duplicates(documents, scratch, keyed=True)
+    found = near_copies(documents, scratch)
     keys = found.groupBy(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).agg((~F.min("key").eqNullSafe(F.min("component_id"))).alias("gone"), F.count("*").alias("n"))
     changed = scratch.write(keys.filter("gone or n > 1"), "changed")
     docs, of = meet(documents, changed)

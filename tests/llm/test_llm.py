@@ -66,7 +66,16 @@ def plain_fingerprint(t):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
 
 
-def plain_components(fps):
+def plain_shingles(t):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+
+def similar(a, b):
+    return 10 * len(a & b) >= 8 * len(a | b)
+
+
+def plain_components(fps, linked=lambda a, b: (a ^ b).bit_count() <= 3):
     root = {i: i for i in fps}
 
     def find(i):
@@ -76,7 +85,7 @@ def plain_components(fps):
 
     for i in fps:
         for j in fps:
-            if i < j and (fps[i] ^ fps[j]).bit_count() <= 3:
+            if i < j and linked(fps[i], fps[j]):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return {i: find(i) for i in fps}
@@ -87,8 +96,63 @@ def test_simhash(clashing, texts):
     fps = {i: plain_fingerprint(t) for i, t in enumerate(texts)}
     assert {i: g[0] for i, g in got.items()} == fps
     assert {i: g[1] for i, g in got.items()} == plain_components(fps)
-    kept = {r["doc_id"] for r in simhash.keep_one(clashing).collect()}
-    assert kept == set(plain_components(fps).values())
+
+
+def test_near_copies(clashing, texts):
+    sets = {i: plain_shingles(t) for i, t in enumerate(texts)}
+    want = plain_components(sets, similar)
+    assert want[12] == want[6] == 6  # one word of 120 replaced
+    got = {r["doc_id"]: r["component_id"]["doc_id"] for r in simhash.near_copies(clashing).collect()}
+    assert got == want
+    assert {r["doc_id"] for r in simhash.keep_one(clashing).collect()} == set(want.values())
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 16])
+def test_near_copies_of_every_likeness(spark, block):
+    """All links of 0.8 and more but one in fifty are kept at least as connections, none below is made."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(60):
+        base = prose(rng, int(rng.integers(40, 300)), 2000).split()
+        for k in range(5):
+            w = list(base)
+            for at in rng.integers(0, len(w), int(rng.integers(0, 1 + len(w) // 30))):
+                w[at] = f"new{rng.integers(1 << 30)}"
+            texts.append(" ".join(w).upper() if k == 4 else " ".join(w))
+    sets = {i: plain_shingles(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    prints = simhash.sampled_prints(docs).collect()
+    number = {r["text_hash"]: r["doc_id"] for r in prints}
+    text = {r["doc_id"]: number[r["text_hash"]] for r in prints}
+    pairs = simhash.candidate_copies(spark.createDataFrame([(bytes(r["item"]),) for r in prints], "item binary").distinct(), block=block).collect()
+    verified = {(number[r["u"]], number[r["v"]]) for r in pairs if similar(sets[number[r["u"]]], sets[number[r["v"]]])}
+    joined = plain_components(dict.fromkeys(sets), lambda a, b: False)
+    for u, v in sorted(map(sorted, verified)):
+        a, b = sorted((joined[u], joined[v]))
+        joined = {i: a if r == b else r for i, r in joined.items()}
+    links = [(i, j) for i in sets for j in sets if i < j and similar(sets[i], sets[j])]
+    assert len(links) > 100 and sum(joined[text[i]] == joined[text[j]] for i, j in links) >= 0.98 * len(links)
+    if block == simhash.BLOCK:
+        got = {r["doc_id"]: r["component_id"]["doc_id"] for r in simhash.near_copies(docs).collect()}
+        want = plain_components(sets, similar)
+        assert sum(got[i] == got[j] for i, j in links) >= 0.98 * len(links)
+        assert all(want[i] == want[r] for i, r in got.items())
+
+
+def test_forest_of_copies_is_whole():
+    """Connects what the pairs of the least tally connect, with no more links than that takes."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 256, (6, simhash.POSITIONS), np.uint8)
+    rows = base[rng.integers(0, 6, 200)].copy()
+    for r in rows:
+        at = rng.integers(0, simhash.POSITIONS, int(rng.integers(0, 20)))
+        r[at] = rng.integers(0, 256, len(at))
+    items = np.concatenate([np.arange(200, dtype="<i8").view(np.uint8).reshape(-1, 8), rows], axis=1)
+    for minimum, sure in ((41, 57), (50, 64)):
+        forest = simhash._best_forest(items, minimum, sure)
+        want = plain_components(dict(enumerate(rows)), lambda a, b: int((a == b).sum()) >= minimum)
+        got = plain_components({i: i for i in range(200)}, lambda a, b, e={frozenset(x) for x in forest}: frozenset((a, b)) in e)
+        assert got == want and len(forest) == 200 - len(set(want.values()))
 
 
 def test_simhash_lists_in_blocks(spark):
@@ -544,7 +608,7 @@ def test_empty_tables(spark, tmp_path):
     bench = spark.createDataFrame([], "item_id long, text string")
     lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     path, pattern = public()
-    for df in (simhash.near_duplicates(e), simhash.keep_one(e), decontam.find_contamination(e, bench), substring.remove_repeats(e), pii.find_spans(e), pii.sanitise(e), quality.judge(e), quality.filter_documents(e), shard.shard_documents(e), license.scan_licenses(e), toxicity.score_documents(e, lab), tokencount.count_documents(e, path, pattern), bpe.encode_documents(e, path, pattern)):
+    for df in (simhash.near_duplicates(e), simhash.near_copies(e), simhash.keep_one(e), decontam.find_contamination(e, bench), substring.remove_repeats(e), pii.find_spans(e), pii.sanitise(e), quality.judge(e), quality.filter_documents(e), shard.shard_documents(e), license.scan_licenses(e), toxicity.score_documents(e, lab), tokencount.count_documents(e, path, pattern), bpe.encode_documents(e, path, pattern)):
         assert df.count() == 0
 
 
@@ -554,8 +618,7 @@ def test_pipeline(spark, docs, texts, tmp_path):
     spark.createDataFrame([(1, " ".join(texts[10].split()[5:45]))], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, d).collect()}
     good = {i for i, t in enumerate(texts) if not plain_quality(t)[5]}
-    fps = {i: plain_fingerprint(texts[i]) for i in good}
-    want = set(plain_components(fps).values()) - {10, 11, 15}
+    want = set(plain_components({i: plain_shingles(texts[i]) for i in good}, similar).values()) - {10, 11, 15}
     assert set(out) == want
     c, plain = plain_codec()
     for i, r in out.items():

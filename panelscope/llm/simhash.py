@@ -20,8 +20,11 @@ a 64-bit SimHash says that: at 0.8 a positional byte of two texts agrees in 27 o
 selective in a large corpus would need some 150 lists a text. There the fingerprint has 64 positional bytes, each the
 SimHash byte of a min-wise sample of one shingle, which agrees as often as the similarity says. The rest is the
 same index: lists keyed by five positional bytes, shared bytes tallied, pairs under the minimum dropped, a spanning
-forest of the others given out with its best pairs first, and each of its pairs verified by the shingles themselves. Two
-texts at exactly 0.8 share a list in 99 of 100 cases and reach the minimum in 999 of 1000; above, more often. Texts are told apart by their hash, rows by doc_id
+forest of the others given out with its best pairs first, and each of its pairs verified by the shingles themselves. That
+joins nearly all, but a list or a tally can miss a link, and a forest's pair can fail where another would have held. So the groups found are
+then held against each other without loss: two sets of this similarity share one of the first shingles of each, in any order
+that is the same for all sets (here rare ones first), and every pair of different groups that shares one and whose sizes and places
+allow the similarity is verified too. Texts are told apart by their hash, rows by doc_id
 and text. Fewer than five words: the whole sequence is the shingle; null or blank texts are equal to each other alone.
 """
 
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, Scratch, hash_of, meet, quoted
+from .common import Rows, Scratch, bitmap, hash_of, meet, passes, quoted
 
 BITS, MATCHES, SHINGLE, SEED = 3, 5, 3, 42
 #: Members of one list that a task compares with each other; longer lists are cut into pairs of blocks.
@@ -280,8 +283,120 @@ def candidate_copies(distinct: DataFrame, similarity: float = SIMILARITY, block:
     return blocks(distinct.select("item", F.explode(keys).alias("key")), block).mapInArrow(run, "u long, v long").distinct()
 
 
-def shingle_sets(documents: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
-    """node (the text's hash), grams (the distinct hashes of its shingles), one row a text."""
+def prefix_length(size: np.ndarray | int, similarity: float):
+    """So many first shingles of a set, in one order for all sets, hold one of those that it shares with any set as similar."""
+    return size - np.ceil(similarity * size - 1e-6).astype(np.int64) + 1
+
+
+def frequent_grams(documents: DataFrame, shingle: int = COPY_SHINGLE, least: int = 3, held: int = 2_000_000) -> DataFrame:
+    """h: hashes of shingles that several of some thousand neighbouring texts hold; they come last in the order of shingles, which any choice leaves right."""
+
+    def often(grams: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h[n >= least].view(np.int64), pa.int64())], ["h"])
+
+    def run(batches):
+        grams, n, seen = [], 0, set()
+        for b in batches:
+            for text, node in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                if node in seen:
+                    continue
+                seen.add(node)
+                grams.append(np.unique(shingle_hashes(text.as_py(), shingle)))
+                n += len(grams[-1]) + 1
+                if n > held:
+                    yield often(grams)
+                    grams, n, seen = [], 0, set()
+        yield often(grams)
+
+    return documents.select("text", hash_of(F.col("text")).alias("node")).mapInArrow(run, "h long")
+
+
+def prefixes(documents: DataFrame, frequent: np.ndarray, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """node, size (of the text's shingle set), keys (its prefix), one row a text. No shingles: one key of its own."""
+
+    def run(batches):
+        nodes, sizes, sets, held = [], [], [], 0
+
+        def batch():
+            ends = np.cumsum([0, *map(len, sets)])
+            keys = pa.LargeListArray.from_arrays(ends, np.concatenate([*sets, np.zeros(0, np.int64)])).cast(pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), keys], ["node", "size", "keys"])
+
+        for b in batches:
+            for text, node in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                grams = np.unique(shingle_hashes(text.as_py(), shingle))
+                often = passes(grams, frequent)
+                ordered = np.concatenate([grams[~often], grams[often]])[: prefix_length(len(grams), similarity)]
+                nodes.append(node)
+                sizes.append(len(grams))
+                sets.append(ordered.view(np.int64) if len(grams) else np.zeros(1, np.int64))
+                held += len(sets[-1]) + 10
+                if held > 200_000:
+                    yield batch()
+                    nodes, sizes, sets, held = [], [], [], 0
+        yield batch()
+
+    found = documents.select("text", hash_of(F.col("text")).alias("node")).mapInArrow(run, "node long, size int, keys array<long>")
+    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+
+
+def _open_pairs(left: np.ndarray, right: np.ndarray | None, similarity: float):
+    """Pairs of nodes of different roots that may be as similar, if the list's key is the first shingle that both share. Columns: node, root, size, place."""
+    own = right is None
+    right = left if own else right
+    rows = max(1, 1_000_000 // max(1, len(right)))
+    for at in range(0, len(left), rows):
+        node, root, size, place = (c[:, None] for c in left[at : at + rows].T)
+        n, m = size, right[:, 2]
+        most = np.minimum(n - place, m - right[:, 3])
+        ok = (root != right[:, 1]) & (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6) & (most >= similarity / (1 + similarity) * (n + m) - 1e-6)
+        i, j = np.nonzero(ok)
+        if own:
+            i, j = i[i + at < j], j[i + at < j]
+        yield node[i, 0], right[j, 0]
+
+
+def open_copies(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """u, v: all pairs of texts (node, root, size, keys) of different roots that may be as similar: they share a shingle of their prefixes."""
+    index = texts.select("root", F.explode("keys").alias("key"))
+    ends = index.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first < last")
+    keys = bitmap(scratch.write(ends.select("key"), "open"), "key", 26)
+    scratch.release()
+
+    def hits(batches):
+        for b in batches:
+            node, root, size = (b.column(i).to_numpy() for i in range(3))
+            lists = b.column(3)
+            flat, ends = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(ends)), ends)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(ends) - ends, ends)
+            hit = np.flatnonzero(passes(flat.view(np.uint64), keys))
+            for at in range(0, len(hit), 20_000):
+                h = hit[at : at + 20_000]
+                r = row[h]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in ((flat[h], pa.int64()), (node[r], pa.int64()), (root[r], pa.int64()), (size[r], pa.int32()), (place[h], pa.int32()))], ["key", "node", "root", "size", "place"])
+
+    found = texts.select("node", "root", "size", "keys").mapInArrow(hits, "key long, node long, root long, size int, place int")
+    found = scratch.write(found, "hits").select("key", F.struct("node", "root", "size", "place").alias("item"))
+    root = lambda c: F.transform(c, lambda x: x["root"])
+    lists = blocks(found, block).filter(F.array_min(root("a")).isNotNull() & (F.size(F.array_distinct(F.concat(root("a"), root("b")))) > 1))
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    table = lambda x: np.stack([x.values.field(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+
+    def run(batches):
+        for batch in batches:
+            for same, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                for u, v in _open_pairs(table(a), None if same else table(b), similarity) if same or len(b) else ():
+                    for at in range(0, len(u), 20_000):
+                        x, y = u[at : at + 20_000], v[at : at + 20_000]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=schema)
+
+    return lists.mapInArrow(run, "u long, v long").distinct()
+
+
+def shingle_sets(documents: DataFrame, asked: np.ndarray, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """node (the text's hash), grams (the distinct hashes of its shingles), one row for each text that the filter of nodes lets through."""
 
     def run(batches):
         nodes, sets, held = [], [], 0
@@ -292,16 +407,28 @@ def shingle_sets(documents: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame
             return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), grams], ["node", "grams"])
 
         for b in batches:
-            for text, node in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                nodes.append(node)
-                sets.append(np.unique(shingle_hashes(text.as_py(), shingle)).view(np.int64))
+            keys = b.column(1).to_numpy()
+            for i in np.flatnonzero(passes(keys.view(np.uint64), asked)).tolist():
+                nodes.append(keys[i])
+                sets.append(np.unique(shingle_hashes(b.column(0)[i].as_py(), shingle)).view(np.int64))
                 held += len(sets[-1]) + 10
                 if held > 500_000:
                     yield batch()
                     nodes, sets, held = [], [], 0
         yield batch()
 
-    return documents.select("text", "node").mapInArrow(run, "node long, grams array<long>").groupBy("node").agg(F.first("grams").alias("grams"))
+    found = documents.select("text", hash_of(F.col("text")).alias("node")).mapInArrow(run, "node long, grams array<long>")
+    return found.groupBy("node").agg(F.first("grams").alias("grams"))
+
+
+def verified(documents: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """u, v: the pairs whose shingle sets are as similar."""
+    asked = bitmap(pairs.select(F.explode(F.array("u", "v")).alias("node")), "node", 26)
+    # the sets are dealt by node once, for both joins
+    sets = shingle_sets(documents, asked, shingle)
+    met = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+    met = met.select("u", "v", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size(F.array_intersect("a", "b")).alias("both"))
+    return met.filter(F.col("both") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("both")) - 1e-9).select("u", "v")
 
 
 def near_copies(documents: DataFrame, scratch: Scratch | None = None, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -310,17 +437,22 @@ def near_copies(documents: DataFrame, scratch: Scratch | None = None, shingle: i
     prints = sampled_prints(documents, shingle).withColumn("key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     prints = scratch.write(prints, "prints")
     distinct = scratch.write(prints.groupBy(F.col("text_hash").alias("node")).agg(F.min("key").alias("least"), F.count("*").alias("n"), F.first("item").alias("item")), "distinct")
-    pairs = scratch.write(candidate_copies(distinct, similarity), "candidates")
+    tried = scratch.write(candidate_copies(distinct, similarity), "candidates")
     scratch.release()
-    # shingles of the texts in question alone
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = documents.select("text", hash_of(F.col("text")).alias("node")).join(asked, "node", "left_semi")
-    sets = scratch.write(shingle_sets(texts, shingle), "sets")
-    met = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-    met = met.select("u", "v", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size(F.array_intersect("a", "b")).alias("both"))
-    edges = scratch.write(met.filter(F.col("both") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("both")) - 1e-9).select("u", "v"), "links")
-    scratch.drop("sets")
+    near = scratch.write(verified(documents, tried, shingle, similarity), "links")
     scratch.release()
+    # what the lists and forests have left apart: every pair of different groups that may be a link
+    inner = Scratch(documents.sparkSession, "copies-apart")
+    roots = components(near, inner)
+    frequent = bitmap(frequent_grams(documents, shingle), "h", 24)
+    texts = prefixes(documents, frequent, shingle, similarity).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", "keys")
+    texts = inner.write(texts, "prefixes")
+    apart = inner.write(open_copies(texts, inner, similarity).join(tried, ["u", "v"], "left_anti"), "pairs")
+    for name in ("prefixes", "hits"):
+        inner.drop(name)
+    inner.release()
+    edges = near.union(inner.write(verified(documents, apart, shingle, similarity), "links"))
+    inner.release()
     return grouped(prints.drop("item"), "text_hash", distinct.drop("item"), edges, "key", scratch)
 
 

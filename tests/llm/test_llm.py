@@ -139,6 +139,50 @@ def test_near_copies_of_every_likeness(spark, block):
         assert all(want[i] == want[r] for i, r in got.items())
 
 
+def test_near_copies_lose_no_link(spark):
+    """Pairs at exactly 0.8 and groups whose members lie around it: the components of all links."""
+    rng = np.random.default_rng(21)
+    texts = []
+    for _ in range(150):
+        base = [f"w{x}" for x in rng.integers(0, 1 << 30, 229)]
+        copy = list(base)
+        for at in (20, 60, 100, 140, 180):
+            copy[at] = f"new{rng.integers(1 << 30)}"
+        texts += [" ".join(base), " ".join(copy)]
+    for _ in range(15):
+        base = [f"w{x}" for x in rng.integers(0, 1 << 30, 120)]
+        for _ in range(8):
+            copy = list(base)
+            for at in rng.integers(0, 120, 2):
+                copy[at] = f"new{rng.integers(1 << 30)}"
+            texts.append(" ".join(copy))
+    sets = {i: plain_shingles(t) for i, t in enumerate(texts)}
+    assert all(10 * len(sets[i] & sets[i + 1]) == 8 * len(sets[i] | sets[i + 1]) for i in range(0, 300, 2))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r["component_id"]["doc_id"] for r in simhash.near_copies(docs).collect()}
+    assert got == plain_components(sets, similar)
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 3])
+def test_pairs_of_groups_apart_without_loss(spark, block):
+    """Every pair of different groups that reaches the similarity is among those to verify, pairs of one group are not."""
+    rng = np.random.default_rng(22)
+    texts = [""]
+    for _ in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 1 << 30, int(rng.integers(3, 90)))]
+        for _ in range(6):
+            copy = [*base, *[f"end{x}" for x in rng.integers(0, 1 << 30, int(rng.integers(0, 9)))]]
+            texts.append(" ".join(copy[int(rng.integers(0, 2)) :]))
+    sets = {i: plain_shingles(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    number = {r["text_hash"]: r["doc_id"] for r in simhash.sampled_prints(docs).collect()}
+    frequent = simhash.bitmap(simhash.frequent_grams(docs), "h", 24)
+    found = simhash.prefixes(docs, frequent).withColumn("root", F.col("node"))
+    pairs = {frozenset((number[r["u"]], number[r["v"]])) for r in simhash.open_copies(found, Scratch(spark, "test"), block=block).collect()}
+    assert {frozenset((i, j)) for i in number.values() for j in number.values() if i < j and similar(sets[i], sets[j])} <= pairs
+    assert not simhash.open_copies(found.withColumn("root", F.lit(1).cast("long")), Scratch(spark, "test"), block=block).count()
+
+
 def test_forest_of_copies_is_whole():
     """Connects what the pairs of the least tally connect, with no more links than that takes."""
     rng = np.random.default_rng(9)

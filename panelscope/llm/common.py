@@ -122,6 +122,30 @@ def bitmap(df: DataFrame, key: str, bits: int) -> np.ndarray:
     return out
 
 
+def sifted(documents: DataFrame, table: DataFrame, bits: int = 24) -> tuple[DataFrame, DataFrame]:
+    """Documents that may and that can't be among the rows of a written table (id_, hash_), without their texts being dealt out.
+
+    By a filter of 2 ** bits bits that each executor gets: 2 ** (bits - 6) rows at most, however large the table (native).
+    """
+    slot = lambda doc_id, text: F.xxhash64(doc_id.cast("string"), text).bitwiseAND((1 << bits) - 1)
+    one = table.select(slot(F.col("id_"), F.col("hash_")).alias("slot"))
+    one = one.select(F.shiftright("slot", 6).alias("k"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("b"))
+    k, b = (new_name(documents, n) for n in ("k", "b"))
+    one = one.groupBy(F.col("k").alias(k)).agg(F.bit_or("b").alias(b))
+    mine = slot(F.col("doc_id"), hash_of(F.col("text")))
+    met = documents.join(F.broadcast(one), F.shiftright(mine, 6) == F.col(k), "left")
+    hit = F.coalesce(F.getbit(F.col(b), mine.bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    return met.filter(hit).select(*quoted(documents)), met.filter(~hit).select(*quoted(documents))
+
+
+def new_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one if the table has it in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def passes(key: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Which keys (unsigned) the filter lets through: all that it was made of, and some others."""
     slot = key & np.uint64(len(table) * 64 - 1)

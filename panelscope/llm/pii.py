@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, changed_text, meet, words
+from .common import Scratch, changed_text, meet, sifted, words
 
 WINDOW, DISCLOSURE, SECRET_BITS = 48, 0.8, 2.5
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -195,7 +195,10 @@ def sanitise(documents: DataFrame) -> DataFrame:
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit("[TERM]").alias("mark"))),
     )
     found = found.groupBy(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).agg(F.first(F.array_sort(marks)).alias("marks"))
-    d, of = meet(documents, Scratch(documents.sparkSession, "pii-marks").write(found, "marks"))
+    found = Scratch(documents.sparkSession, "pii-marks").write(found, "marks")
+    # only texts that may change are dealt out
+    some, rest = sifted(documents, found)
+    d, of = meet(some, found)
     # spans of different kinds can overlap: what an earlier span has covered is not written again
     text = F.aggregate(
         of["marks"],
@@ -207,7 +210,7 @@ def sanitise(documents: DataFrame) -> DataFrame:
         lambda a: F.concat(F.array_join(a["out"], ""), F.col("text").substr(a["at"] + 1, F.length("text"))),
     )
     text = F.when(of["marks"].isNull() | F.col("text").isNull(), F.col("text")).otherwise(text)
-    return changed_text(d, documents, text, of["marks"].isNotNull())
+    return changed_text(d, documents, text, of["marks"].isNotNull()).union(rest)
 
 
 def op5_disclosure_spans(spark, sf_dir):

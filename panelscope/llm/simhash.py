@@ -23,14 +23,17 @@ same index: lists keyed by five positional bytes, shared bytes tallied, pairs un
 forest of the others given out with its best pairs first, and each of its pairs verified by the shingles themselves. That
 joins nearly all, but a list or a tally can miss a link, and a forest's pair can fail where another would have held. So the groups found are
 then held against each other without loss: two sets of this similarity share one of the first shingles of each, in any order
-that is the same for all sets (here rare ones first), and every pair of different groups that shares one and whose sizes and places
-allow the similarity is verified too. Texts are told apart by their hash, rows by doc_id
+that is the same for all sets (here rare ones first), and every pair of different groups that shares one and whose sizes, places and
+parities allow the similarity is verified too. The parities say of some bits whether an even or odd number of the set's shingles fall on
+each: bits that differ are at most as many as the shingles that only one set holds, so that no link fails by them, and pairs
+that share a passage by chance, whose number grows as the square of the corpus, never leave the list where they met. Texts are told apart by their hash, rows by doc_id
 and text. Fewer than five words: the whole sequence is the shingle; null or blank texts are equal to each other alone.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +45,8 @@ BITS, MATCHES, SHINGLE, SEED = 3, 5, 3, 42
 BLOCK = 2048
 #: Near copies: words of a shingle, least Jaccard similarity, positional bytes of the sampled fingerprint, of a key, and lists.
 COPY_SHINGLE, SIMILARITY, POSITIONS, KEY_BYTES, LISTS = 5, 0.8, 64, 5, 12
+#: Longs of the widest parities that go into lists; pairs of larger sets are held against each other by all their parities later.
+PARITY_LONGS = 8
 TRIPLES = [(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3), (4, 5, 6), (4, 5, 7), (4, 6, 7), (5, 6, 7)]
 
 _SALT, _ODD = np.random.default_rng(SEED).integers(0, 1 << 63, (2, POSITIONS), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -312,16 +317,43 @@ def frequent_grams(documents: DataFrame, shingle: int = COPY_SHINGLE, least: int
     return documents.select("text", hash_of(F.col("text")).alias("node")).mapInArrow(run, "h long")
 
 
+def parities(grams: np.ndarray) -> bytes:
+    """Whether the set has an odd number of hashes at each of 64, 128, 256... bits, as many as hashes at least."""
+    width = 64
+    while width < len(grams):
+        width *= 2
+    odd = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sign: bytes, longs: int) -> np.ndarray:
+    """The parities that the set has with so many longs at most."""
+    x = np.frombuffer(sign, np.uint64)
+    while len(x) > longs:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def parity_table(signs: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Longs of each row's parities, and the parities of all rows folded to 1, 2, 4 and 8 longs (right where a row has as many)."""
+    wide = np.frombuffer(b"".join(x.ljust(8 * PARITY_LONGS, b"\0") for x in signs), np.uint64).reshape(-1, PARITY_LONGS)
+    tables = [wide]
+    while tables[-1].shape[1] > 1:
+        half = tables[-1].shape[1] // 2
+        tables.append(tables[-1][:, :half] ^ tables[-1][:, half:])
+    return np.array([len(x) // 8 for x in signs]), tables[::-1]
+
+
 def prefixes(documents: DataFrame, frequent: np.ndarray, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """node, size (of the text's shingle set), keys (its prefix), one row a text. No shingles: one key of its own."""
+    """node, size (of the text's shingle set), sign (its parities), keys (its prefix), one row a text. No shingles: one key of its own."""
 
     def run(batches):
-        nodes, sizes, sets, held = [], [], [], 0
+        nodes, sizes, signs, sets, held = [], [], [], [], 0
 
         def batch():
             ends = np.cumsum([0, *map(len, sets)])
             keys = pa.LargeListArray.from_arrays(ends, np.concatenate([*sets, np.zeros(0, np.int64)])).cast(pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), keys], ["node", "size", "keys"])
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()), keys], ["node", "size", "sign", "keys"])
 
         for b in batches:
             for text, node in zip(b.column(0), b.column(1).to_pylist(), strict=True):
@@ -330,21 +362,26 @@ def prefixes(documents: DataFrame, frequent: np.ndarray, shingle: int = COPY_SHI
                 ordered = np.concatenate([grams[~often], grams[often]])[: prefix_length(len(grams), similarity)]
                 nodes.append(node)
                 sizes.append(len(grams))
+                signs.append(parities(grams))
                 sets.append(ordered.view(np.int64) if len(grams) else np.zeros(1, np.int64))
                 held += len(sets[-1]) + 10
                 if held > 200_000:
                     yield batch()
-                    nodes, sizes, sets, held = [], [], [], 0
+                    nodes, sizes, signs, sets, held = [], [], [], [], 0
         yield batch()
 
-    found = documents.select("text", hash_of(F.col("text")).alias("node")).mapInArrow(run, "node long, size int, keys array<long>")
-    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+    found = documents.select("text", hash_of(F.col("text")).alias("node")).mapInArrow(run, "node long, size int, sign binary, keys array<long>")
+    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("sign").alias("sign"), F.first("keys").alias("keys"))
+
 
+def _open_pairs(left: np.ndarray, right: np.ndarray | None, similarity: float, signs=None):
+    """Pairs of nodes of different roots that may be as similar, if the list's key is the first shingle that both share. Columns: node, root, size, place.
 
-def _open_pairs(left: np.ndarray, right: np.ndarray | None, similarity: float):
-    """Pairs of nodes of different roots that may be as similar, if the list's key is the first shingle that both share. Columns: node, root, size, place."""
+    signs: gives the parities of the left rows and of the right ones, asked for only where pairs are left.
+    """
     own = right is None
     right = left if own else right
+    tables = None
     rows = max(1, 1_000_000 // max(1, len(right)))
     for at in range(0, len(left), rows):
         node, root, size, place = (c[:, None] for c in left[at : at + rows].T)
@@ -354,11 +391,30 @@ def _open_pairs(left: np.ndarray, right: np.ndarray | None, similarity: float):
         i, j = np.nonzero(ok)
         if own:
             i, j = i[i + at < j], j[i + at < j]
-        yield node[i, 0], right[j, 0]
+        if not len(i):
+            continue
+        if signs and not tables:
+            tables = [parity_table(x) for x in signs()]
+        for k in range(0, len(i), 50_000):
+            a, b = i[k : k + 50_000], j[k : k + 50_000]
+            if signs:
+                near = _parities_allow(tables, a + at, b, size[a, 0] + m[b], similarity)
+                a, b = a[near], b[near]
+            yield node[a, 0], right[b, 0]
+
+
+def _parities_allow(tables, i: np.ndarray, j: np.ndarray, both: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of sets differ in no more bits than sets as similar differ in elements; both: the sum of their sizes."""
+    (longs, left), (others, right) = tables
+    width, bits = np.minimum(longs[i], others[j]), np.zeros(len(i), np.int64)
+    for k, (x, y) in enumerate(zip(left, right, strict=True)):
+        at = np.flatnonzero(width == 1 << k)
+        bits[at] = np.bitwise_count(x[i[at]] ^ y[j[at]]).sum(axis=1)
+    return bits <= (1 - similarity) / (1 + similarity) * both + 1e-6
 
 
 def open_copies(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """u, v: all pairs of texts (node, root, size, keys) of different roots that may be as similar: they share a shingle of their prefixes."""
+    """u, v: all pairs of texts (node, root, size, sign, keys) of different roots that may be as similar: they share a shingle of their prefixes."""
     index = texts.select("root", F.explode("keys").alias("key"))
     ends = index.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first < last")
     keys = bitmap(scratch.write(ends.select("key"), "open"), "key", 26)
@@ -367,7 +423,7 @@ def open_copies(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARI
     def hits(batches):
         for b in batches:
             node, root, size = (b.column(i).to_numpy() for i in range(3))
-            lists = b.column(3)
+            signs, lists = pa.array([folded(x, PARITY_LONGS).tobytes() for x in b.column(3).to_pylist()], pa.binary()), b.column(4)
             flat, ends = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(ends)), ends)
             place = np.arange(len(flat)) - np.repeat(np.cumsum(ends) - ends, ends)
@@ -375,10 +431,10 @@ def open_copies(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARI
             for at in range(0, len(hit), 20_000):
                 h = hit[at : at + 20_000]
                 r = row[h]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in ((flat[h], pa.int64()), (node[r], pa.int64()), (root[r], pa.int64()), (size[r], pa.int32()), (place[h], pa.int32()))], ["key", "node", "root", "size", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in ((flat[h], pa.int64()), (node[r], pa.int64()), (root[r], pa.int64()), (size[r], pa.int32()), (place[h], pa.int32()))] + [signs.take(pa.array(r))], ["key", "node", "root", "size", "place", "sign"])
 
-    found = texts.select("node", "root", "size", "keys").mapInArrow(hits, "key long, node long, root long, size int, place int")
-    found = scratch.write(found, "hits").select("key", F.struct("node", "root", "size", "place").alias("item"))
+    found = texts.select("node", "root", "size", "sign", "keys").mapInArrow(hits, "key long, node long, root long, size int, place int, sign binary")
+    found = scratch.write(found, "hits").select("key", F.struct("node", "root", "size", "place", "sign").alias("item"))
     root = lambda c: F.transform(c, lambda x: x["root"])
     lists = blocks(found, block).filter(F.array_min(root("a")).isNotNull() & (F.size(F.array_distinct(F.concat(root("a"), root("b")))) > 1))
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -387,12 +443,25 @@ def open_copies(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARI
     def run(batches):
         for batch in batches:
             for same, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                for u, v in _open_pairs(table(a), None if same else table(b), similarity) if same or len(b) else ():
+                signs = lambda a=a, b=a if same else b: [x.values.field(4).to_pylist() for x in (a, b)]
+                for u, v in _open_pairs(table(a), None if same else table(b), similarity, signs) if same or len(b) else ():
                     for at in range(0, len(u), 20_000):
                         x, y = u[at : at + 20_000], v[at : at + 20_000]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=schema)
 
-    return lists.mapInArrow(run, "u long, v long").distinct()
+    pairs = scratch.write(lists.mapInArrow(run, "u long, v long").distinct(), "met")
+
+    def wide(batches):
+        for batch in batches:
+            u, v = (batch.column(i).to_pylist() for i in (3, 5))
+            bits = np.array([int(np.bitwise_count(folded(x, len(y) // 8) ^ folded(y, len(x) // 8)).sum()) for x, y in zip(u, v, strict=True)], np.int64)
+            both = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+            near = pa.array(bits <= (1 - similarity) / (1 + similarity) * both + 1e-6)
+            yield batch.select([0, 1]).filter(near)
+
+    sign = lambda n: texts.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("sign").alias(f"sign_{n}"))
+    met = pairs.join(sign("u"), "u").join(sign("v"), "v")
+    return met.select("u", "v", "size_u", "sign_u", "size_v", "sign_v").mapInArrow(wide, "u long, v long")
 
 
 def shingle_sets(documents: DataFrame, asked: np.ndarray, shingle: int = COPY_SHINGLE) -> DataFrame:
@@ -445,10 +514,10 @@ def near_copies(documents: DataFrame, scratch: Scratch | None = None, shingle: i
     inner = Scratch(documents.sparkSession, "copies-apart")
     roots = components(near, inner)
     frequent = bitmap(frequent_grams(documents, shingle), "h", 24)
-    texts = prefixes(documents, frequent, shingle, similarity).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", "keys")
+    texts = prefixes(documents, frequent, shingle, similarity).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", "sign", "keys")
     texts = inner.write(texts, "prefixes")
     apart = inner.write(open_copies(texts, inner, similarity).join(tried, ["u", "v"], "left_anti"), "pairs")
-    for name in ("prefixes", "hits"):
+    for name in ("prefixes", "hits", "met"):
         inner.drop(name)
     inner.release()
     edges = near.union(inner.write(verified(documents, apart, shingle, similarity), "links"))
@@ -456,18 +525,27 @@ def near_copies(documents: DataFrame, scratch: Scratch | None = None, shingle: i
     return grouped(prints.drop("item"), "text_hash", distinct.drop("item"), edges, "key", scratch)
 
 
+def _row_hash(doc_id, text_hash):
+    """Of the key of a row; a long, whatever type the doc_id has."""
+    return F.xxhash64(F.col(doc_id).cast("long"), text_hash)
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
     """Documents, of each component of near copies only one row: that of the smallest doc_id (nulls last), of several the first by its text's hash."""
     scratch = Scratch(documents.sparkSession, "simhash-kept")
     found = near_copies(documents, scratch)
     keys = found.groupBy(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).agg((~F.min("key").eqNullSafe(F.min("component_id"))).alias("gone"), F.count("*").alias("n"))
     changed = scratch.write(keys.filter("gone or n > 1"), "changed")
-    docs, of = meet(documents, changed)
+    # nearly all rows stay as they are: only those that a filter of the others lets through are dealt out with their texts
+    asked = bitmap(changed.select(_row_hash("id_", "hash_").alias("row")), "row", 24)
+    perhaps = F.pandas_udf(lambda x: pd.Series(passes(x.to_numpy().view(np.uint64), asked)), "boolean")(_row_hash("doc_id", hash_of(F.col("text"))))
+    docs, of = meet(documents.filter(perhaps), changed)
     docs = docs.filter(of["gone"].isNull() | ~of["gone"])
     # rows that are equal in doc_id and text; the others need no comparison
     name = lambda c: of[c]._jc.toString()
     again = docs.filter(of["n"].isNotNull()).dropDuplicates([name("id_"), name("hash_")])
-    return docs.filter(of["n"].isNull()).unionByName(again).select(*quoted(documents))
+    met = docs.filter(of["n"].isNull()).unionByName(again).select(*quoted(documents))
+    return documents.filter(~perhaps).select(*quoted(documents)).union(met)
 
 
 def op2_simhash_groups(spark, sf_dir):

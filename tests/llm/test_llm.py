@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelscope.llm import bpe, decontam, license, pii, quality, queries, shard, simhash, substring, tokencount, toxicity
-from panelscope.llm.common import Scratch
+from panelscope.llm.common import Scratch, hash_of, sifted
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SYLLABLES = ["ba", "ke", "lo", "mi", "nu", "ra", "so", "ti", "ve", "zo"]
@@ -183,6 +183,31 @@ def test_pairs_of_groups_apart_without_loss(spark, block):
     assert not simhash.open_copies(found.withColumn("root", F.lit(1).cast("long")), Scratch(spark, "test"), block=block).count()
 
 
+def test_shared_passages_give_no_pairs(spark):
+    """Texts that share a passage alone, whose pairs grow as the square of their number, leave no pair to verify; a near copy does."""
+    rng = np.random.default_rng(23)
+    passage = prose(rng, 60, 2000)
+    texts = [f"{prose(rng, int(n), 2000)} {passage}" for n in rng.integers(60, 1500, 80)]
+    texts.append(texts[0].replace(passage, passage + " end"))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    number = {r["text_hash"]: r["doc_id"] for r in simhash.sampled_prints(docs).collect()}
+    found = simhash.prefixes(docs, np.zeros(1 << 10, np.uint64)).withColumn("root", F.col("node"))
+    pairs = {frozenset((number[r["u"]], number[r["v"]])) for r in simhash.open_copies(found, Scratch(spark, "test")).collect()}
+    assert pairs == {frozenset((0, 80))}
+
+
+def test_parities_allow_every_similar_pair():
+    rng = np.random.default_rng(24)
+    for n in (1, 5, 9, 60, 126, 135, 250, 520, 1030, 5000):
+        both = rng.integers(0, 1 << 63, n, np.uint64)
+        more = n // 4  # as many as 0.8 allows, in one set, the other or shared out
+        for left in (0, more // 2, more):
+            a, b = (np.concatenate([both, rng.integers(0, 1 << 63, k, np.uint64)]) for k in (left, more - left))
+            tables = [simhash.parity_table([simhash.parities(x)]) for x in (a, b)]
+            zero = np.zeros(1, np.int64)
+            assert simhash._parities_allow(tables, zero, zero, np.array([len(a) + len(b)]), 0.8).all()
+
+
 def test_forest_of_copies_is_whole():
     """Connects what the pairs of the least tally connect, with no more links than that takes."""
     rng = np.random.default_rng(9)
@@ -696,6 +721,17 @@ def test_stages_tell_rows_apart(spark):
         assert left(simhash.keep_one(rows((1, one), (i, one), (i, two), (i, two), (i, item)))) == want((1, one), (i, two), (i, item))
 
 
+@pytest.mark.parametrize("bits", [24, 7])
+def test_sifted_texts_are_few_and_hold_all_that_change(spark, bits):
+    """Every row of the table's keys is among those dealt out, every row is in one part once; with a filter that isn't full the others stay."""
+    rows = [(i if i % 7 else None, f"text {i}" if i % 11 else None, i, i) for i in range(400)]
+    docs = spark.createDataFrame([*rows, rows[8]], "doc_id long, text string, k int, B int")
+    asked = spark.createDataFrame(rows[:40], docs.schema).select(F.col("doc_id").alias("id_"), hash_of(F.col("text")).alias("hash_"))
+    some, rest = ([tuple(r) for r in x.collect()] for x in sifted(docs, asked, bits))
+    assert sorted(some + rest, key=lambda r: r[2]) == sorted([*rows, rows[8]], key=lambda r: r[2])
+    assert {*rows[:40]} <= {*some} and (bits < 24 or len(some) < 60)
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     from tests.oracle import differences, views
